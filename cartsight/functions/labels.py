@@ -7,8 +7,8 @@ from cartsight.schema import MONTHS
 
 
 def operating_system_label(code: Column) -> Column:
-    named = F.concat(F.lit("OS_"), code.cast("int").cast("string"))
-    return F.when(code.isin(1, 2, 3), named).otherwise("OS_Other")
+    named = F.array(*(F.lit(f"OS_{i}") for i in (1, 2, 3)))
+    return F.coalesce(F.get(named, code.cast("int") - 1), F.lit("OS_Other"))
 
 
 def region_label(code: Column) -> Column:

@@ -53,12 +53,17 @@ def model_features(sessions: DataFrame, keys: tuple[str, ...] = (KEY, "slice"))
 
 
 def parse_lines(lines: DataFrame, keys: tuple[str, ...] = (KEY,), complete_only: bool = True) -> DataFrame:
-    """The 18 texts of each line.  Lines with too few fields are dropped unless told otherwise."""
+    """The 18 texts of each line.  Lines with too few fields are dropped unless told otherwise.
+
+    Each line unfolds into one record, or none.  Filters on the fields stop at the
+    unfolding; below it they would split the line again for every condition.
+    """
     carried = _carried(lines, keys)
     parts = lines.select(*carried, fn.line_parts(F.col("value")).alias("parts"))
+    record = F.array(F.struct(*fn.line_fields(F.col("parts")).values()))
     if complete_only:
-        parts = parts.where(_is_complete(F.col("parts")))
-    return parts.select(*carried, *fn.line_fields(F.col("parts")).values())
+        record = F.when(_is_complete(F.col("parts")), record)
+    return parts.select(*carried, F.inline(record))
 
 
 def _is_complete(parts: Column) -> Column:

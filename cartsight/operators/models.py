@@ -24,6 +24,7 @@ BATCH_TREE = {"maxDepth": 10, "minInstancesPerNode": 20}
 STREAM_TREE = {"maxDepth": 4, "minInstancesPerNode": 10}
 GRID = {"maxDepth": (3, 5, 10), "maxBins": (32, 64)}
 FOLDS = 5
+SEED = 42
 PARALLELISM = 4
 
 
@@ -39,8 +40,8 @@ def kept(*frames: DataFrame) -> Iterator[None]:
             frame.unpersist()
 
 
-def tree(**settings: int) -> DecisionTreeClassifier:
-    return DecisionTreeClassifier(featuresCol="features", labelCol=LABEL, **settings)
+def tree(seed: int = SEED, **settings: int) -> DecisionTreeClassifier:
+    return DecisionTreeClassifier(featuresCol="features", labelCol=LABEL, seed=seed, **settings)
 
 
 def batch_tree() -> Pipeline:
@@ -84,35 +85,34 @@ def tree_predictions(features: DataFrame, keys: Sequence[str] = (KEY,)) -> DataF
 
 def compare_slices(features: DataFrame) -> DataFrame:
     """Test metrics of a tree per slice and of one over all slices, one row per scope."""
-    with kept(features):
-        scopes = [("slice_1", F.col(SLICE) == 1), ("slice_2", F.col(SLICE) == 2), ("pooled", F.lit(True))]
-        rows = []
-        for scope, chosen in scopes:
-            train, test = split_train_test(features.where(chosen).drop(SLICE))
-            metrics = evaluate_tree(fit_tree(train).transform(test))
-            rows.append(metrics.select(F.lit(scope).alias("scope"), "*"))
-        return reduce(DataFrame.unionByName, rows)
+    scopes = {"slice_1": F.col(SLICE) == 1, "slice_2": F.col(SLICE) == 2, "pooled": F.lit(True)}
+
+    def measured(scope: str, chosen: Column) -> DataFrame:
+        train, test = split_train_test(features.where(chosen).drop(SLICE))
+        metrics = evaluate_tree(fit_tree(train).transform(test))
+        return metrics.select(F.lit(scope).alias("scope"), "*")
+
+    with kept(features), ThreadPool(len(scopes)) as pool:
+        return reduce(DataFrame.unionByName, pool.starmap(measured, scopes.items()))
 
 
 def grid_points(grid: dict[str, Sequence[int]] = GRID) -> list[dict[str, int]]:
     return [dict(zip(grid, values)) for values in product(*grid.values())]
 
 
-def _fold_accuracies(train: DataFrame, fold: int, points: list[dict[str, int]], pool: ThreadPool) -> list[float]:
-    """Accuracy on one fold of a tree per grid point, trained on the other folds.
+def _fold_accuracies(folded: DataFrame, fold: int, points: list[dict[str, int]], pool: ThreadPool) -> list[float]:
+    """Accuracy on one fold of a tree per grid point, grown on the other folds.
 
     The encoders are fitted once for all points, and one pass scores every tree.
     """
-    seen, held = train.where(F.col("fold") != fold), train.where(F.col("fold") == fold)
+    seen, held = folded.where(F.col("fold") != fold), folded.where(F.col("fold") == fold)
     encoding = batch_encoding().fit(seen)
-    encoded = encoding.transform(seen).select(LABEL, "features")
+    encoded, scored = (encoding.transform(part).select(LABEL, "features") for part in (seen, held))
     with kept(encoded):
-        trees = pool.map(lambda p: tree(**p).fit(encoded), points)
-    scored = encoding.transform(held).select(LABEL, "features")
+        trees = pool.map(lambda point: tree(**point).fit(encoded), points)
     for i, fitted in enumerate(trees):
-        fitted.setPredictionCol(f"p{i}").setRawPredictionCol("").setProbabilityCol("")
-        scored = fitted.transform(scored)
-    hits = (F.avg((F.col(f"p{i}") == F.col(LABEL)).cast("double")) for i in range(len(points)))
+        scored = fitted.setPredictionCol(f"p{i}").setRawPredictionCol("").setProbabilityCol("").transform(scored)
+    hits = (F.avg((F.col(f"p{i}") == F.col(LABEL)).cast("double")) for i in range(len(trees)))
     return list(scored.agg(*hits).first())
 
 
@@ -120,7 +120,11 @@ def cross_validate(
     train: DataFrame, grid: dict[str, Sequence[int]] = GRID, folds: int = FOLDS,
     parallelism: int = PARALLELISM, key: str = KEY,
 ) -> list[tuple[dict[str, int], float]]:
-    """Mean accuracy over the folds for each grid point."""
+    """Mean accuracy over the folds for each grid point.
+
+    One fold at a time, so that no more than the features and the encoded rows of
+    one fold are held; ``parallelism`` trees grow at once.
+    """
     points = grid_points(grid)
     folded = labelled(with_fold(train, folds, key))
     with kept(folded), ThreadPool(parallelism) as pool:

@@ -342,12 +342,14 @@ def slice_model_comparison(spark, folder):
     return rounded(models.compare_slices(features.model_features(halves)))
 
 
-# Streams: the lines of all sessions in a few files per micro-batch
+# Streams: the lines of all sessions, as files that arrive in a few micro-batches
 
 
 def _line_source(spark: SparkSession, folder: str) -> DataFrame:
     path = shared_path(spark, "lines")
-    session_lines(shop_sessions(spark, folder)).select("value").write.text(path)
+    lines = session_lines(shop_sessions(spark, folder))
+    arrival = fn.bucket(F.col(KEY), STREAM_BATCHES).alias("arrival")
+    lines.select("value", arrival).write.partitionBy("arrival").text(path)
     files = len(spark.read.text(path).inputFiles())
     return line_stream(spark, path, maxFilesPerTrigger=ceil(files / STREAM_BATCHES))
 
