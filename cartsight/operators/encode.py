@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cartsight.schema import BATCH_NUMERIC, CATEGORICAL, LABEL, STREAM_NUMERIC
+from cartsight.storage import kept
 
 
 def _index(column: str) -> str:
@@ -113,7 +114,8 @@ def slot_names(model: PipelineModel, numeric: Sequence[str], categorical: Sequen
 
 def assemble_features(train: DataFrame, df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Every slot of the batch feature vector as a column of its own."""
-    model = batch_encoding().fit(train)
+    with kept(train):
+        model = batch_encoding().fit(train)
     values = vector_to_array("features")
     names = slot_names(model, BATCH_NUMERIC)
     return model.transform(df).select(

@@ -100,11 +100,18 @@ def curve_areas(
     Up to ``rank_limit`` of them are ranked together; more are ranked inside
     ``score_ranges`` score ranges, each starting from the totals of the ranges above.
     """
+    points = cut_lineage(_points(counts))
+    return _areas(points, points.count(), rank_limit, score_ranges)
+
+
+def _points(counts: DataFrame) -> DataFrame:
+    """Rows of either class per score."""
     positives = F.sum(F.when(F.col("label") == 1, F.col("n")).otherwise(0))
-    points = cut_lineage(
-        counts.groupBy("score").agg(positives.alias("pos"), (F.sum("n") - positives).alias("neg"))
-    )
-    if points.count() <= rank_limit:
+    return counts.groupBy("score").agg(positives.alias("pos"), (F.sum("n") - positives).alias("neg"))
+
+
+def _areas(points: DataFrame, size: int, rank_limit: int, score_ranges: int) -> DataFrame:
+    if size <= rank_limit:
         ranked = _running(points, Window.orderBy(F.desc("score")))
     else:
         ranked = _ranked_in_ranges(points, score_ranges)
@@ -143,14 +150,20 @@ def _ranked_in_ranges(points: DataFrame, score_ranges: int) -> DataFrame:
     )
 
 
-def evaluate(counts: DataFrame, positive: float | None = None) -> DataFrame:
-    """One row: both areas and the four class metrics, of one class if ``positive`` is given."""
+def evaluate(
+    counts: DataFrame, positive: float | None = None,
+    rank_limit: int = RANK_LIMIT, score_ranges: int = SCORE_RANGES,
+) -> DataFrame:
+    """One row: both areas and the four class metrics, of one class if ``positive`` is given.
+
+    The tally is written out once and serves all of them.
+    """
     counts = cut_lineage(counts)
+    areas = _areas(_points(counts), counts.count(), rank_limit, score_ranges)
     summary = classification_metrics(counts) if positive is None else class_metrics(counts, positive)
     # Both sides are single rows.
-    return curve_areas(counts).withColumn("row", F.lit(1)).join(
-        summary.withColumn("row", F.lit(1)), "row"
-    ).drop("row")
+    numbered = (one.withColumn("row", F.lit(1)) for one in (areas, summary))
+    return next(numbered).join(next(numbered), "row").drop("row")
 
 
 def preview(df: DataFrame, n: int, key: str, *columns: str) -> DataFrame:

@@ -1,12 +1,10 @@
 """Decision trees: training, scoring, tuning and comparison by slice."""
 
-from collections.abc import Iterator, Sequence
-from contextlib import contextmanager
+from collections.abc import Sequence
 from functools import reduce
 from itertools import product
 from multiprocessing.pool import ThreadPool
 
-from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import DecisionTreeClassifier
 from pyspark.ml.functions import vector_to_array
@@ -18,6 +16,7 @@ from cartsight.operators.metrics import evaluate, tally
 from cartsight.operators.split import split_train_test, with_fold
 from cartsight.schema import BATCH_NUMERIC, KEY, LABEL, STREAM_NUMERIC
 from cartsight.sources.files import SLICE
+from cartsight.storage import kept
 
 # Tree settings of the three uses.
 BATCH_TREE = {"maxDepth": 10, "minInstancesPerNode": 20}
@@ -26,18 +25,7 @@ GRID = {"maxDepth": (3, 5, 10), "maxBins": (32, 64)}
 FOLDS = 5
 SEED = 42
 PARALLELISM = 4
-
-
-@contextmanager
-def kept(*frames: DataFrame) -> Iterator[None]:
-    """Hold ``frames`` on the executors while several jobs read them; lost blocks are recomputed."""
-    for frame in frames:
-        frame.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        yield
-    finally:
-        for frame in frames:
-            frame.unpersist()
+FOLDS_AT_ONCE = 2
 
 
 def tree(seed: int = SEED, **settings: int) -> DecisionTreeClassifier:
@@ -109,7 +97,7 @@ def _fold_accuracies(folded: DataFrame, fold: int, points: list[dict[str, int]],
     encoding = batch_encoding().fit(seen)
     encoded, scored = (encoding.transform(part).select(LABEL, "features") for part in (seen, held))
     with kept(encoded):
-        trees = pool.map(lambda point: tree(**point).fit(encoded), points)
+        trees = pool.map(lambda point: tree(**point).fit(encoded), points, chunksize=1)
     for i, fitted in enumerate(trees):
         scored = fitted.setPredictionCol(f"p{i}").setRawPredictionCol("").setProbabilityCol("").transform(scored)
     hits = (F.avg((F.col(f"p{i}") == F.col(LABEL)).cast("double")) for i in range(len(trees)))
@@ -122,13 +110,16 @@ def cross_validate(
 ) -> list[tuple[dict[str, int], float]]:
     """Mean accuracy over the folds for each grid point.
 
-    One fold at a time, so that no more than the features and the encoded rows of
-    one fold are held; ``parallelism`` trees grow at once.
+    ``parallelism`` trees grow at once.  ``FOLDS_AT_ONCE`` folds are under way, so
+    that one is encoded or scored while the trees of another grow; no more than
+    their encoded rows are held besides the features.
     """
     points = grid_points(grid)
     folded = labelled(with_fold(train, folds, key))
-    with kept(folded), ThreadPool(parallelism) as pool:
-        by_fold = [_fold_accuracies(folded, fold, points, pool) for fold in range(folds)]
+    with kept(folded), ThreadPool(parallelism) as growing, ThreadPool(FOLDS_AT_ONCE) as under_way:
+        by_fold = under_way.map(
+            lambda fold: _fold_accuracies(folded, fold, points, growing), range(folds), chunksize=1
+        )
     return [(point, sum(scores) / folds) for point, scores in zip(points, zip(*by_fold))]
 
 

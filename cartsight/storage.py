@@ -2,8 +2,11 @@
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import lru_cache
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -32,3 +35,15 @@ def cut_lineage(df: DataFrame, purpose: str = "table") -> DataFrame:
     path = shared_path(df.sparkSession, purpose)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def kept(*frames: DataFrame) -> Iterator[None]:
+    """Hold ``frames`` on the executors while several jobs read them; lost blocks are recomputed."""
+    for frame in frames:
+        frame.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        yield
+    finally:
+        for frame in frames:
+            frame.unpersist()

@@ -9,9 +9,9 @@ from pyspark.sql.streaming import StreamingQuery
 
 from cartsight.operators.features import online_features
 from cartsight.operators.metrics import evaluate, tally
-from cartsight.operators.models import kept
 from cartsight.operators.online import STEP_SIZE, STEPS, ZERO_WEIGHTS, descend, score
 from cartsight.schema import KEY
+from cartsight.storage import kept
 from cartsight.streaming.lines import parse_stream
 from cartsight.streaming.tables import in_layout, read_batch, start, write_batch
 

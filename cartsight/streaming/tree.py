@@ -7,10 +7,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from cartsight.operators.features import stream_features
-from cartsight.operators.models import evaluate_tree, fit_tree, kept, stream_tree
+from cartsight.operators.models import evaluate_tree, fit_tree, stream_tree
 from cartsight.operators.quality import drop_null_rows, missing
 from cartsight.operators.split import cap_rows, is_train, split_train_test
 from cartsight.schema import KEY, LABEL
+from cartsight.storage import kept
 from cartsight.streaming.lines import parse_stream
 from cartsight.streaming.tables import in_layout, start, write_batch
 
