@@ -8,7 +8,7 @@ from multiprocessing.pool import ThreadPool
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import DecisionTreeClassifier
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cartsight.operators.encode import batch_encoding, encoding_stages, labelled
@@ -33,7 +33,7 @@ def tree(seed: int = SEED, **settings: int) -> DecisionTreeClassifier:
 
 
 def batch_tree() -> Pipeline:
-    return Pipeline(stages=[*encoding_stages(BATCH_NUMERIC, scale=True), tree(**BATCH_TREE)])
+    return tree_with(**BATCH_TREE)
 
 
 def stream_tree() -> Pipeline:
@@ -128,28 +128,35 @@ def best_point(results: list[tuple[dict[str, int], float]]) -> dict[str, int]:
     return max(results, key=lambda result: result[1])[0]
 
 
-def grid_results(train: DataFrame, **options) -> DataFrame:
+def results_table(spark: SparkSession, results: list[tuple[dict[str, int], float]]) -> DataFrame:
     """One row per grid point: settings, mean accuracy, and whether it is the best."""
-    results = cross_validate(train, **options)
     best = best_point(results)
     rows = [
-        (i + 1, *point.values(), float(accuracy), point == best)
-        for i, (point, accuracy) in enumerate(results)
+        (i, *point.values(), float(accuracy), point == best)
+        for i, (point, accuracy) in enumerate(results, 1)
     ]
     names = [*results[0][0], "avg_accuracy", "best"]
-    return train.sparkSession.createDataFrame(rows, ["configuration", *names])
+    return spark.createDataFrame(rows, ["configuration", *names])
+
+
+def grid_results(train: DataFrame, **options) -> DataFrame:
+    return results_table(train.sparkSession, cross_validate(train, **options))
+
+
+def tree_with(**settings: int) -> Pipeline:
+    return Pipeline(stages=[*encoding_stages(BATCH_NUMERIC, scale=True), tree(**settings)])
 
 
 def tuned_tree(train: DataFrame, **options) -> tuple[dict[str, int], PipelineModel]:
     """The best settings by cross-validation, and a tree with them fitted on all of ``train``."""
     best = best_point(cross_validate(train, **options))
-    stages = [*encoding_stages(BATCH_NUMERIC, scale=True), tree(**best)]
-    return best, fit_tree(train, Pipeline(stages=stages))
+    return best, fit_tree(train, tree_with(**best))
 
 
 def best_model_metrics(features: DataFrame, **options) -> DataFrame:
     """Settings of the tuned tree and its quality on the held-out rows."""
     train, test = split_train_test(features)
     best, model = tuned_tree(train, **options)
-    settings = (F.lit(value).alias(name) for name, value in best.items())
-    return evaluate_tree(model.transform(test)).select(*settings, "*")
+    settings = {**best, "minInstancesPerNode": model.stages[-1].getMinInstancesPerNode()}
+    named = (F.lit(value).alias(name) for name, value in settings.items())
+    return evaluate_tree(model.transform(test)).select(*named, "*")

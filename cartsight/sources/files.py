@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cartsight.schema import SESSION_SCHEMA
+from cartsight.functions import content_key
+from cartsight.schema import KEY, SESSION_SCHEMA
 from cartsight.sources.records import text_of
 
 SLICE = "slice"
@@ -33,6 +34,18 @@ def read_sessions(
     return register(sessions, view) if view else sessions
 
 
+def read_texts(spark: SparkSession, paths: str | Iterable[str]) -> DataFrame:
+    """Header CSV files with every column as text, for the column profile."""
+    return spark.read.option("header", True).csv([paths] if isinstance(paths, str) else list(paths))
+
+
+def with_key(sessions: DataFrame, key: str = KEY) -> DataFrame:
+    """Add a key made from the record itself where the files carry none."""
+    if key in sessions.columns:
+        return sessions
+    return sessions.withColumn(key, content_key(*(F.col(c) for c in sessions.columns)))
+
+
 def register(df: DataFrame, view: str) -> DataFrame:
     """Make ``df`` available to SQL text under ``view``."""
     df.createOrReplaceTempView(view)

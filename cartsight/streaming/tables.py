@@ -32,7 +32,8 @@ def read_batch(spark: SparkSession, table: str, batch_id: int, schema: str) -> D
 
 def read_batches(spark: SparkSession, table: str, schema: str) -> DataFrame:
     """All rows so far, with their ``batch_id``."""
-    return spark.read.schema(f"batch_id BIGINT, {schema}").parquet(table)
+    rows = spark.read.schema(f"batch_id BIGINT, {schema}").parquet(table)
+    return rows.select("batch_id", *(c for c in rows.columns if c != "batch_id"))
 
 
 def start(
