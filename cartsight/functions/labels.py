@@ -5,18 +5,27 @@ from pyspark.sql import functions as F
 
 from cartsight.schema import MONTHS
 
+# Category labels and the text of a set flag.
+OS_LABELS = ("OS_1", "OS_2", "OS_3")
+OS_OTHER = "OS_Other"
+REGION_LABEL = "Region_1"
+REGION_OTHER = "Region_Other"
+TRAFFIC_LABEL = "TrafficType_1_3"
+TRAFFIC_OTHER = "TrafficType_Other"
+FLAG_SET = "True"
+
 
 def operating_system_label(code: Column) -> Column:
-    named = F.array(*(F.lit(f"OS_{i}") for i in (1, 2, 3)))
-    return F.coalesce(F.get(named, code.cast("int") - 1), F.lit("OS_Other"))
+    named = F.get(F.array(*map(F.lit, OS_LABELS)), code.cast("bigint") - 1)
+    return F.coalesce(named, F.lit(OS_OTHER))
 
 
 def region_label(code: Column) -> Column:
-    return F.when(code == 1, "Region_1").otherwise("Region_Other")
+    return F.when(code == 1, REGION_LABEL).otherwise(REGION_OTHER)
 
 
 def traffic_label(code: Column) -> Column:
-    return F.when(code.between(1, 3), "TrafficType_1_3").otherwise("TrafficType_Other")
+    return F.when(code.between(1, 3), TRAFFIC_LABEL).otherwise(TRAFFIC_OTHER)
 
 
 def special_date(closeness: Column) -> Column:
@@ -35,7 +44,7 @@ def month_number(name: Column, strict: bool = False) -> Column:
 
 def text_flag(text: Column) -> Column:
     """1 for the text ``True``, 0 for anything else."""
-    return F.when(text == "True", 1).otherwise(0)
+    return F.when(text == FLAG_SET, 1).otherwise(0)
 
 
 def indicator(condition: Column) -> Column:

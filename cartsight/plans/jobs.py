@@ -4,9 +4,10 @@ from collections.abc import Iterator, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from cartsight.operators import features, metrics, models, quality, split
-from cartsight.schema import KEY, LABEL, SESSION_SCHEMA
+from cartsight.schema import KEY, KEYED_SCHEMA, LABEL, SESSION_SCHEMA
 from cartsight.sources import line_stream, read_sessions, read_texts, with_key, write_slices
 from cartsight.storage import kept
 from cartsight.streaming import online as online_jobs
@@ -17,9 +18,11 @@ Report = Iterator[tuple[str, DataFrame]]
 
 
 def prepare(spark: SparkSession, features: str, target: str, out: str) -> Report:
-    """Join two CSV files that share a key column and write two equal slices."""
-    tables = (spark.read.option("header", True).option("inferSchema", True).csv(p) for p in (features, target))
-    sessions = split.join_features_target(*tables)
+    """Join a CSV file of key and features with one of key and label, and write two equal slices."""
+    *fields, label = KEYED_SCHEMA.fields
+    known = read_sessions(spark, features, StructType(fields))
+    wanted = read_sessions(spark, target, StructType([fields[0], label]))
+    sessions = split.join_features_target(known, wanted)
     write_slices(split.split_exact_halves(sessions), out)
     written = spark.read.option("header", True).csv(out)
     yield "Rows per slice", written.groupBy("slice").count().orderBy("slice")

@@ -159,6 +159,10 @@ def _typed(name: str) -> str:
 
 
 _TYPED = _list(map(_typed, SESSION_FIELDS))
+_TYPED_DOUBLES = _list(
+    f'CAST(TRY_CAST("{n}" AS INTEGER) AS DOUBLE) AS "{n}"' if t.simpleString() == "int" else _typed(n)
+    for n, t in SESSION_FIELDS.items()
+)
 
 
 def _number(name: str) -> str:
@@ -256,7 +260,7 @@ ORACLES["features_stream_static"] = _with(*_BROKEN, _STREAM) + f"SELECT session_
 ORACLES["features_online"] = _with(*_BROKEN, _DEFAULTS, _ONLINE) + "SELECT session_id, label, {} FROM online".format(
     _list(f'round("{c}", 6) AS "{c}"' for c in ONLINE_FEATURES)
 )
-ORACLES["parse_csv_lines"] = _with(*_BROKEN_ALL) + f"SELECT session_id, {_TYPED} FROM fields"
+ORACLES["parse_csv_lines"] = _with(*_BROKEN_ALL) + f"SELECT session_id, {_TYPED_DOUBLES} FROM fields"
 ORACLES["stream_parse_sessions"] = _with(*_S, _LINES, _COMPLETE_FIELDS) + f"SELECT {_TYPED} FROM fields"
 ORACLES["parse_numeric_default"] = _with(*_BROKEN_ALL, _DEFAULTS) + "SELECT * FROM defaults"
 ORACLES["filter_malformed_lines"] = (
@@ -264,7 +268,7 @@ ORACLES["filter_malformed_lines"] = (
 )
 ORACLES["label_categories"] = _with(*_F) + f"SELECT session_id, {_quoted(CATEGORICAL)} FROM features"
 ORACLES["month_number"] = _with(*_S) + f"""SELECT session_id, "Month", {_month_sql('"Month"')} AS "Month_Number",
-  {_month_sql('"Month"[1:3]')} AS "Short_Name_Number" FROM sessions"""
+  CAST({_month_sql('"Month"[1:3]')} AS DOUBLE) AS "Short_Name_Number" FROM sessions"""
 _ANY_NULL = " OR ".join(f'"{c}" IS NULL' for c in BATCH_COLUMNS)
 ORACLES["rows_with_nulls"] = _with(*_F) + f"SELECT session_id, {_rounded(BATCH_COLUMNS)} FROM features WHERE {_ANY_NULL}"
 ORACLES["drop_null_rows"] = _with(*_BROKEN_ALL, _STREAM) + "SELECT session_id, {} FROM stream WHERE {}".format(

@@ -47,6 +47,12 @@ def rounded(df: DataFrame) -> DataFrame:
     return df.select(*map(shown, df.schema.fields))
 
 
+def whole_as_double(df: DataFrame) -> DataFrame:
+    """Whole numbers that may be null as doubles, which both engines hand over alike."""
+    whole = [f.name for f in df.schema.fields if isinstance(f.dataType, T.IntegerType)]
+    return df.withColumns({c: F.col(c).cast("double") for c in whole})
+
+
 def _model_features(spark: SparkSession, folder: str) -> DataFrame:
     return features.model_features(shop_sessions(spark, folder))
 
@@ -152,7 +158,7 @@ def features_online(spark, folder):
 
 @query
 def parse_csv_lines(spark, folder):
-    return features.typed_fields(_damaged_texts(spark, folder, complete_only=False))
+    return whole_as_double(features.typed_fields(_damaged_texts(spark, folder, complete_only=False)))
 
 
 @query
@@ -174,7 +180,7 @@ def label_categories(spark, folder):
 def month_number(spark, folder):
     return shop_sessions(spark, folder).select(
         KEY, "Month", fn.month_number(F.col("Month")).alias("Month_Number"),
-        fn.month_number(F.left("Month", F.lit(3))).alias("Short_Name_Number"),
+        fn.month_number(F.left("Month", F.lit(3))).cast("double").alias("Short_Name_Number"),
     )
 
 
