@@ -16,7 +16,8 @@ FLAG_SET = "True"
 
 
 def operating_system_label(code: Column) -> Column:
-    named = F.get(F.array(*map(F.lit, OS_LABELS)), code.cast("bigint") - 1)
+    known = F.get(F.array(*map(F.lit, OS_LABELS)), (code - 1).cast("int"))
+    named = F.when(code.between(1, len(OS_LABELS)), known)
     return F.coalesce(named, F.lit(OS_OTHER))
 
 
