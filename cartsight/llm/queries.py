@@ -1,6 +1,6 @@
 """The registered queries of this subpackage: each applies one operator, with its usual parameters, to its whole table."""
 
-from cartsight.llm import mixing, secrets, sharding
+from cartsight.llm import html, mixing, outliers, quality, secrets, sharding
 from cartsight.llm.common import table
 
 
@@ -16,5 +16,17 @@ def op4_mixing(spark, sf_dir):
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op2_sharding, op3_secrets, op4_mixing)}
+def op8_html_text(spark, sf_dir):
+    return html.extract(table(spark, sf_dir, "pages"))
+
+
+def op9_quality(spark, sf_dir):
+    return quality.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op10_outliers(spark, sf_dir):
+    return outliers.judge(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op2_sharding, op3_secrets, op4_mixing, op8_html_text, op9_quality, op10_outliers)}
 ORACLES: dict[str, str] = {}

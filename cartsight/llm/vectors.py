@@ -6,7 +6,6 @@ word becomes a Python object.
 """
 
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -30,20 +29,19 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 def _powers(base: int, n: int) -> np.ndarray:
     out = np.full(n, base & _MASK, np.uint64)
-    out[0] = 1
+    out[:1] = 1
     return np.cumprod(out, dtype=np.uint64)
 
 
-@lru_cache(maxsize=1)
-def _usual_powers() -> tuple[np.ndarray, np.ndarray]:
-    return _powers(_BASE, CHUNK + 1), _powers(pow(_BASE, -1, 1 << 64), CHUNK + 1)
+_held: list[np.ndarray] = []
 
 
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers of the base and of its inverse; those for a usual chunk are held."""
     if n <= CHUNK:
-        up, down = _usual_powers()
-        return up[:n], down[: n + 1]
+        if not _held:
+            _held.extend((_powers(_BASE, CHUNK + 1), _powers(pow(_BASE, -1, 1 << 64), CHUNK + 1)))
+        return _held[0][:n], _held[1][: n + 1]
     return _powers(_BASE, n), _powers(pow(_BASE, -1, 1 << 64), n + 1)
 
 
