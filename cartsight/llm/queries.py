@@ -1,9 +1,13 @@
 """The registered queries of this subpackage: each applies one operator, with its usual parameters, to its whole table."""
 
-from cartsight.llm import html, mixing, outliers, quality, secrets, sharding
+from cartsight.llm import html, languages, mixing, outliers, quality, secrets, sharding
 from cartsight.llm.common import table
 
 
+def op1_language(spark, sf_dir):
+    return languages.identify(table(spark, sf_dir, "documents"))
+
+
 def op2_sharding(spark, sf_dir):
     return sharding.place(table(spark, sf_dir, "documents"))
 
@@ -28,5 +32,5 @@ def op10_outliers(spark, sf_dir):
     return outliers.judge(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op2_sharding, op3_secrets, op4_mixing, op8_html_text, op9_quality, op10_outliers)}
+QUERIES = {f.__name__: f for f in (op1_language, op2_sharding, op3_secrets, op4_mixing, op8_html_text, op9_quality, op10_outliers)}
 ORACLES: dict[str, str] = {}
