@@ -1,6 +1,6 @@
 """The registered queries of this subpackage: each applies one operator, with its usual parameters, to its whole table."""
 
-from cartsight.llm import html, languages, mixing, outliers, quality, secrets, sharding
+from cartsight.llm import html, languages, mixing, outliers, personal, quality, secrets, sharding
 from cartsight.llm.common import table
 
 
@@ -20,6 +20,10 @@ def op4_mixing(spark, sf_dir):
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
+def op7_personal(spark, sf_dir):
+    return personal.find(table(spark, sf_dir, "documents"))
+
+
 def op8_html_text(spark, sf_dir):
     return html.extract(table(spark, sf_dir, "pages"))
 
@@ -32,5 +36,5 @@ def op10_outliers(spark, sf_dir):
     return outliers.judge(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_language, op2_sharding, op3_secrets, op4_mixing, op8_html_text, op9_quality, op10_outliers)}
+QUERIES = {f.__name__: f for f in (op1_language, op2_sharding, op3_secrets, op4_mixing, op7_personal, op8_html_text, op9_quality, op10_outliers)}
 ORACLES: dict[str, str] = {}
