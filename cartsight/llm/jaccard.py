@@ -255,8 +255,8 @@ def _links(keyed: DataFrame, classes: DataFrame, size: int, percent: int) -> Dat
         pairs = _pairs(large.where(chance * F.col("m") < compared), large, percent)
 
 
-def link_documents(docs: DataFrame, size: int = 3, percent: int = 90) -> DataFrame:
-    """``doc_id, n_shingles, component_id`` for every row of ``docs``.
+def link_documents(docs: DataFrame, size: int = 3, percent: int = 90, key: bool = False) -> DataFrame:
+    """``doc_id, n_shingles, component_id`` for every row of ``docs``; with ``key``, also ``text_key``.
 
     The set of a text: distinct runs of ``size`` words in lower case (A to Z), or
     the whole sequence of fewer words.  Two texts are linked when they share
@@ -281,5 +281,27 @@ def link_documents(docs: DataFrame, size: int = 3, percent: int = 90) -> DataFra
         least = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
         named = rooted.join(least, "root")
     named = named.select("s1", "s2", "n", "component_id")
-    joined = rows.select("doc_id", "n", "s1", "s2").join(named, ["s1", "s2", "n"], "left")
-    return joined.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
+    columns = ["doc_id", *(["text_key"] if key else [])]
+    joined = rows.select(*columns, "n", "s1", "s2").join(named, ["s1", "s2", "n"], "left")
+    return joined.select(*columns, F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
+
+
+def representatives(docs: DataFrame, size: int = 3, percent: int = 90) -> DataFrame:
+    """One row of each component of ``docs``, with its columns as they are: the smallest id, the first of equal texts.
+
+    Rows with an empty set stay.  Where all ids of a component are null, its
+    rows stay, except for repeats.
+    """
+    gone = link_documents(docs, size, percent, key=True).where(~F.col("doc_id").eqNullSafe(F.col("component_id")))
+    gone = stored(gone.select(F.col("doc_id").alias("__id"), F.col("text_key").alias("__key")).distinct(), "copies")
+    same = docs["doc_id"].eqNullSafe(gone["__id"]) & (text_key(docs["text"]) == gone["__key"])
+    kept = docs.join(gone, same, "left_anti")
+    keyed = kept.select("doc_id", text_key(kept["text"]).alias("key"))
+    return kept if keyed.groupBy("doc_id", "key").count().where("count > 1").isEmpty() else _first_of_repeats(kept)
+
+
+def _first_of_repeats(docs: DataFrame) -> DataFrame:
+    """``docs`` without rows whose id and text occurred before; rows without a word stay."""
+    wordless = F.coalesce(F.length(F.regexp_replace("text", r"[\x20\x09-\x0D]", "")), F.lit(0)) == 0
+    keyed = docs.withColumn("__key", text_key(docs["text"]))
+    return docs.where(wordless).unionByName(keyed.where(~wordless).dropDuplicates(["doc_id", "__key"]).drop("__key"))

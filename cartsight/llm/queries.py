@@ -1,6 +1,6 @@
 """The registered queries of this subpackage: each applies one operator, with its usual parameters, to its whole table."""
 
-from cartsight.llm import html, jaccard, languages, mixing, outliers, personal, quality, secrets, sharding
+from cartsight.llm import html, jaccard, languages, mixing, outliers, personal, quality, secrets, semantic, sharding
 from cartsight.llm.common import table
 
 
@@ -20,6 +20,10 @@ def op4_mixing(spark, sf_dir):
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
+def op5_decontamination(spark, sf_dir):
+    return semantic.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op6_jaccard_join(spark, sf_dir):
     return jaccard.link_documents(table(spark, sf_dir, "documents"))
 
@@ -40,5 +44,5 @@ def op10_outliers(spark, sf_dir):
     return outliers.judge(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_language, op2_sharding, op3_secrets, op4_mixing, op6_jaccard_join, op7_personal, op8_html_text, op9_quality, op10_outliers)}
+QUERIES = {f.__name__: f for f in (op1_language, op2_sharding, op3_secrets, op4_mixing, op5_decontamination, op6_jaccard_join, op7_personal, op8_html_text, op9_quality, op10_outliers)}
 ORACLES: dict[str, str] = {}
