@@ -2,6 +2,7 @@
 
 from cartsight.llm import html, jaccard, languages, mixing, outliers, personal, quality, secrets, semantic, sharding
 from cartsight.llm.common import table
+from cartsight.llm.oracle import ORACLES
 
 
 def op1_language(spark, sf_dir):
@@ -45,4 +46,5 @@ def op10_outliers(spark, sf_dir):
 
 
 QUERIES = {f.__name__: f for f in (op1_language, op2_sharding, op3_secrets, op4_mixing, op5_decontamination, op6_jaccard_join, op7_personal, op8_html_text, op9_quality, op10_outliers)}
-ORACLES: dict[str, str] = {}
+
+__all__ = ["ORACLES", "QUERIES"]
