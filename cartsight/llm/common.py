@@ -1,9 +1,11 @@
 """What the operators share: tables of the corpus, row keys, intermediate tables."""
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cartsight.storage import cut_lineage
+from cartsight.storage import shared_path
 
 #: A word is a run of anything but these; the same six characters in Java, DuckDB and ``bytes.split``.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -13,9 +15,31 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+_written: list[list[str]] = [[]]
+
+
 def stored(df: DataFrame, purpose: str) -> DataFrame:
     """Write ``df`` to the shared folder and go on from the written table, so that a lost executor costs no recomputation."""
-    return cut_lineage(df, purpose)
+    path = shared_path(df.sparkSession, purpose)
+    df.write.parquet(path)
+    _written[-1].append(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def finished(spark: SparkSession, make: Callable[[], DataFrame], purpose: str) -> DataFrame:
+    """The stored result of ``make``; the tables that it stored on the way are deleted."""
+    _written.append([])
+    try:
+        result = make()
+        inner, _written[-1] = _written[-1], []
+        result = stored(result, purpose)
+        _written[-2].extend(_written[-1])
+    finally:
+        _written.pop()
+    for path in inner:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+    return result
 
 
 def held_out(doc_id: Column) -> Column:

@@ -20,18 +20,20 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cartsight.llm.common import stored, text_key
+from cartsight.llm.common import finished, stored, text_key
 from cartsight.llm.components import components
 from cartsight.llm.vectors import Texts, mix, pieces, shingle_sets
 
 #: Runs counted together in a task, and the local count from which a run is reported as frequent.
 COUNTED = 4_000_000
-LOCAL = 4
-#: A run is frequent when it has at least this part of all runs (so there are at most 2**20 of them), and at least 32.
-FREQUENT = 2.0**-20
-LEAST_FREQUENT = 32
+LOCAL = 2
+#: A run is frequent when it has at least this part of all runs (so there are at most 2**22 of them), and at least 8.
+FREQUENT = 2.0**-22
+LEAST_FREQUENT = 8
 #: Buckets up to this size are compared in full at once; larger ones by so many times more members in each round.
 SMALL = 8
+#: Words of the short sketch that travels with a bucket's rows.
+BRIEF = 4
 #: Keys of texts that are broadcast, at most (about 64 MB); beyond, the join is left to the engine.
 BROADCAST_ROWS = 1_000_000
 
@@ -74,18 +76,18 @@ def prefix_size(n: int, percent: int) -> int:
 
 def parity_sketch(tokens: np.ndarray) -> np.ndarray:
     """Parities of the counts of tokens per cell, in 64-bit words; two sketches differ in at most as many bits as the sets."""
-    cells = max(128, 1 << int(len(tokens) - 1).bit_length())
+    cells = max(64 * BRIEF, 1 << int(len(tokens) - 1).bit_length())
     counts = np.bincount((tokens & np.uint64(cells - 1)).astype(np.int64), minlength=cells)
     return np.packbits((counts & 1).astype(np.uint8), bitorder="little").view(np.int64)
 
 
 def _set_rows(keyed: DataFrame, size: int, percent: int) -> DataFrame:
-    """``doc_id, text_key, n, s1, s2, prefix, sketch`` for every row: size and signature of its set, the prefix, and the parity sketch."""
+    """``doc_id, text_key, n, s1, s2, prefix, sketch, brief`` for every row: size and signature of its set, the prefix, and parity sketches."""
     frequent = keyed.sparkSession.sparkContext.broadcast(_frequent(keyed, size))
     longs = T.ArrayType(T.LongType())
     schema = T.StructType([
         keyed.schema["doc_id"], keyed.schema["text_key"], T.StructField("n", T.LongType()), T.StructField("s1", T.LongType()),
-        T.StructField("s2", T.LongType()), T.StructField("prefix", longs), T.StructField("sketch", longs),
+        T.StructField("s2", T.LongType()), T.StructField("prefix", longs), T.StructField("sketch", longs), T.StructField("brief", longs),
     ])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -112,6 +114,7 @@ def _set_rows(keyed: DataFrame, size: int, percent: int) -> DataFrame:
                     sketches.append(parity_sketch(s) if len(s) else np.zeros(0, np.int64))
                 yield pa.RecordBatch.from_arrays([
                     piece.column("doc_id"), piece.column("text_key"), pa.array(counts), pa.array(signs[0]), pa.array(signs[1]), _lists(prefixes), _lists(sketches),
+                    _lists([np.bitwise_xor.reduce(s.reshape(-1, BRIEF), axis=0) if len(s) else s for s in sketches]),
                 ], schema.names)
 
     return keyed.select("doc_id", "text_key", "text").mapInArrow(run, schema)
@@ -130,15 +133,25 @@ def _grouped(classes: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def _buckets(classes: DataFrame, groups: DataFrame) -> DataFrame:
-    """``inside, token, node, n, pos, m, first``: groups that share a run of their prefixes, and classes that share a group."""
-    others = groups.where("cid <> gid").select("cid")
-    leaders = classes.join(others, "cid", "left_anti")
-    tokens = leaders.select(F.lit(False).alias("inside"), F.col("cid").alias("node"), "n", F.posexplode("prefix").alias("pos", "token"))
-    rows = tokens.select("inside", "token", "node", "n", "pos").unionByName(
-        groups.select(F.lit(True).alias("inside"), F.col("gid").alias("token"), F.col("cid").alias("node"), "n", F.lit(0).alias("pos"))
+    """Groups that share a run of their prefixes, and classes that share a group.
+
+    ``inside, token, node, n, pos, m, first`` and the words of the short sketch,
+    which are null for a group of several classes.
+    """
+    named = classes.join(groups.select("cid", "gid"), "cid", "left").where("gid IS NULL OR gid = cid")
+    tokens = named.select(
+        F.lit(False).alias("inside"), F.col("cid").alias("node"), F.col("n").cast("int").alias("n"), F.col("gid").isNotNull().alias("many"),
+        F.posexplode("prefix").alias("pos", "token"),
     )
+    rows = tokens.select("inside", "token", "node", "n", "many", "pos").unionByName(groups.select(
+        F.lit(True).alias("inside"), F.col("gid").alias("token"), F.col("cid").alias("node"), F.col("n").cast("int").alias("n"),
+        F.lit(False).alias("many"), F.lit(0).alias("pos"),
+    ))
     shared = rows.groupBy("inside", "token").agg(F.count(F.lit(1)).alias("m"), F.min("node").alias("first")).where("m > 1")
-    return stored(rows.join(shared, ["inside", "token"]), "buckets")
+    rows = stored(rows.join(shared, ["inside", "token"]), "shared")
+    brief = {f"k{i}": F.when(~F.col("many"), F.get("brief", F.lit(i))) for i in range(BRIEF)}
+    sketched = rows.join(classes.select(F.col("cid").alias("node"), "brief"), "node").withColumns(brief)
+    return stored(sketched.drop("brief", "many"), "buckets")
 
 
 def _enough(overlap: Column, percent: int) -> Column:
@@ -146,15 +159,18 @@ def _enough(overlap: Column, percent: int) -> Column:
 
 
 def _pairs(left: DataFrame, right: DataFrame, percent: int) -> DataFrame:
-    """``inside, a, b`` of bucket members with different labels that size and position do not rule out, once each."""
+    """``inside, a, b`` of bucket members with different labels that size, position and short sketch do not rule out, once each."""
 
     def side(rows: DataFrame, x: str) -> DataFrame:
-        return rows.select("inside", "token", *(F.col(c).alias(f"{x}_{c}") for c in ("node", "n", "pos", "label")))
+        names = ("node", "n", "pos", "label", *(f"k{i}" for i in range(BRIEF)))
+        return rows.select("inside", "token", *(F.col(c).alias(f"{x}_{c}") for c in names))
 
     most = F.least("a_pos", "b_pos") + 1 + F.least(F.col("a_n") - F.col("a_pos") - 1, F.col("b_n") - F.col("b_pos") - 1)
     possible = F.when(F.col("inside"), F.least("a_n", "b_n")).otherwise(most)
+    unlike = sum((F.bit_count(F.col(f"a_k{i}").bitwiseXOR(F.col(f"b_k{i}"))) for i in range(BRIEF)), F.lit(0))
+    alike = F.coalesce(_enough((F.col("a_n") + F.col("b_n") - unlike) / 2, percent), F.lit(True))
     met = side(left, "a").join(side(right, "b"), ["inside", "token"])
-    met = met.where((F.col("a_label") != F.col("b_label")) & _enough(possible, percent))
+    met = met.where((F.col("a_label") != F.col("b_label")) & _enough(possible, percent) & alike)
     return met.select("inside", F.least("a_node", "b_node").alias("a"), F.greatest("a_node", "b_node").alias("b")).distinct()
 
 
@@ -210,10 +226,18 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.where(_enough(F.size(F.array_intersect("a_set", "b_set")), percent)).select(F.col("a").alias("u"), F.col("b").alias("v"))
 
 
+def _shortcuts(links: DataFrame) -> DataFrame:
+    """``node, root``: the smallest node within two links of each node; equal roots mean connected nodes."""
+    both = links.unionByName(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
+    one = both.groupBy("u").agg(F.min("v").alias("v")).select(F.col("u").alias("node"), F.least("u", "v").alias("root"))
+    two = both.join(one.withColumnRenamed("node", "v"), "v").groupBy("u").agg(F.min("root").alias("root"))
+    return two.withColumnRenamed("u", "node")
+
+
 def _labelled(buckets: DataFrame, groups: DataFrame, labels: DataFrame) -> DataFrame:
     """``buckets`` that hold more than one label.
 
-    A class has the root of its component; a group has that of its classes if
+    A class has its root; a group has that of its classes if
     they share one, else a label that no other has, so that it is compared.
     """
     roots = labels.select(F.col("node").alias("cid"), "root")
@@ -250,7 +274,7 @@ def _links(keyed: DataFrame, classes: DataFrame, size: int, percent: int) -> Dat
         links = stored(found if links is None else links.unionByName(found), "links")
         if compared >= largest:
             return links
-        large = _labelled(large.where(F.col("m") > compared), groups, components(links))
+        large = _labelled(large.where(F.col("m") > compared), groups, stored(_shortcuts(links), "roots"))
         compared *= SMALL
         pairs = _pairs(large.where(chance * F.col("m") < compared), large, percent)
 
@@ -266,10 +290,14 @@ def link_documents(docs: DataFrame, size: int = 3, percent: int = 90, key: bool
     other, and gets the component's id.  Repeated rows are equal texts.  No rows
     give no rows.
     """
+    return finished(docs.sparkSession, lambda: _components_of(docs, size, percent, key), "components")
+
+
+def _components_of(docs: DataFrame, size: int, percent: int, key: bool) -> DataFrame:
     keyed = docs.select("doc_id", "text").withColumn("text_key", text_key(F.col("text")))
     rows = stored(_set_rows(keyed, size, percent), "prefixes")
     signed = rows.where("n > 0").groupBy("s1", "s2", "n").agg(
-        F.min("doc_id").alias("first_id"), F.min(F.struct("doc_id", "text_key")).alias("rep"), F.first("prefix").alias("prefix"), F.first("sketch").alias("sketch")
+        F.min("doc_id").alias("first_id"), F.min(F.struct("doc_id", "text_key")).alias("rep"), F.first("prefix").alias("prefix"), F.first("sketch").alias("sketch"), F.first("brief").alias("brief")
     )
     classes = stored(signed.withColumn("cid", F.monotonically_increasing_id()), "classes")
     links = _links(keyed, classes, size, percent)
