@@ -56,7 +56,8 @@ def text_key(text: Column) -> Column:
 
 def without(docs: DataFrame, texts: DataFrame, column: str = "text_key") -> DataFrame:
     """The rows of ``docs`` whose text is not among the keys of ``texts``; columns and repeated rows stay as they are."""
-    return docs.join(texts.select(F.col(column).alias("__gone")).distinct(), text_key(docs["text"]) == F.col("__gone"), "left_anti")
+    gone = texts.select(F.col(column).alias("gone")).distinct()
+    return docs.join(gone, text_key(docs["text"]) == gone["gone"], "left_anti")
 
 
 def fixed(column: str) -> Column:
@@ -65,14 +66,15 @@ def fixed(column: str) -> Column:
 
 
 def handed_out(docs: DataFrame, own: dict[str, Column], manifest: DataFrame) -> DataFrame:
-    """``docs`` with ``__given`` of the row of ``manifest`` that has the same keys.
+    """``row``, a row of ``docs``, and ``given`` of the row of ``manifest`` that has the same keys.
 
     ``own`` computes the keys from ``docs``; both sides have as many rows of a
     key.  Rows with equal keys are repeats of a document and take theirs in turn.
     """
     keys = list(own)
-    queue = manifest.groupBy(*keys).agg(F.array_sort(F.collect_list("__given")).alias("__queue"))
-    numbered = docs.withColumns(own).withColumn("__turn", F.expr(f"row_number() OVER (PARTITION BY {', '.join(keys)} ORDER BY 1)"))
+    queue = manifest.groupBy(*keys).agg(F.array_sort(F.collect_list("given")).alias("queue"))
+    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), *(c.alias(k) for k, c in own.items()))
+    numbered = rows.withColumn("turn", F.expr(f"row_number() OVER (PARTITION BY {', '.join(keys)} ORDER BY 1)"))
     left, right = numbered.alias("l"), queue.alias("r")
     joined = left.join(right, [F.col(f"l.{k}").eqNullSafe(F.col(f"r.{k}")) for k in keys])
-    return joined.select(*(F.col(f"l.{c}") for c in docs.columns), F.get("r.__queue", F.col("l.__turn") - 1).alias("__given"))
+    return joined.select("row", F.get("queue", F.col("turn") - 1).alias("given"))

@@ -321,8 +321,8 @@ def representatives(docs: DataFrame, size: int = 3, percent: int = 90) -> DataFr
     rows stay, except for repeats.
     """
     gone = link_documents(docs, size, percent, key=True).where(~F.col("doc_id").eqNullSafe(F.col("component_id")))
-    gone = stored(gone.select(F.col("doc_id").alias("__id"), F.col("text_key").alias("__key")).distinct(), "copies")
-    same = docs["doc_id"].eqNullSafe(gone["__id"]) & (text_key(docs["text"]) == gone["__key"])
+    gone = stored(gone.select(F.col("doc_id").alias("id"), F.col("text_key").alias("key")).distinct(), "copies")
+    same = docs["doc_id"].eqNullSafe(gone["id"]) & (text_key(docs["text"]) == gone["key"])
     kept = docs.join(gone, same, "left_anti")
     keyed = kept.select("doc_id", text_key(kept["text"]).alias("key"))
     return kept if keyed.groupBy("doc_id", "key").count().where("count > 1").isEmpty() else _first_of_repeats(kept)
@@ -331,5 +331,6 @@ def representatives(docs: DataFrame, size: int = 3, percent: int = 90) -> DataFr
 def _first_of_repeats(docs: DataFrame) -> DataFrame:
     """``docs`` without rows whose id and text occurred before; rows without a word stay."""
     wordless = F.coalesce(F.length(F.regexp_replace("text", r"[\x20\x09-\x0D]", "")), F.lit(0)) == 0
-    keyed = docs.withColumn("__key", text_key(docs["text"]))
-    return docs.where(wordless).unionByName(keyed.where(~wordless).dropDuplicates(["doc_id", "__key"]).drop("__key"))
+    worded = docs.where(~wordless)
+    rows = worded.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), worded["doc_id"].alias("id"), text_key(worded["text"]).alias("key"))
+    return docs.where(wordless).unionByName(rows.dropDuplicates(["id", "key"]).select("row.*"))

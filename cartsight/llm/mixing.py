@@ -98,9 +98,9 @@ def mix(docs: DataFrame, seed: str = "mix") -> DataFrame:
 
 def mix_documents(docs: DataFrame, seed: str = "mix") -> DataFrame:
     """The mix itself: every row of ``docs`` as often as :func:`copies` says, its columns as they are."""
-    own = {"__id": docs["doc_id"], "__source": docs["source"], "__size": words(docs["text"])}
+    own = {"id": docs["doc_id"], "origin": docs["source"], "words": words(docs["text"])}
     manifest = copies(docs, seed).select(
-        F.col("doc_id").alias("__id"), F.col("source").alias("__source"), F.col("size").alias("__size"), F.struct("copies").alias("__given")
+        F.col("doc_id").alias("id"), F.col("source").alias("origin"), F.col("size").alias("words"), F.struct("copies").alias("given")
     )
-    given = handed_out(docs, own, manifest)
-    return given.withColumn("__copy", F.explode(F.array_repeat(F.lit(0), F.col("__given.copies").cast("int")))).select(*docs.columns)
+    repeated = F.explode(F.array_repeat(F.lit(0), F.col("given.copies").cast("int"))).alias("copy")
+    return handed_out(docs, own, manifest).select("row", repeated).select("row.*")

@@ -58,11 +58,11 @@ def place(docs: DataFrame, shards: int = SHARDS, id_column: str = "doc_id", text
 def shard_documents(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
     """``docs`` with the columns of :func:`place`, which replace columns of the same names."""
     sizes = F.coalesce(F.octet_length(docs["text"]), F.lit(0)).cast("bigint") + 8
-    own = {"__id": docs["doc_id"], "__crc": F.crc32(F.coalesce(docs["text"], F.lit(""))), "__size": sizes}
+    own = {"id": docs["doc_id"], "crc": F.crc32(F.coalesce(docs["text"], F.lit(""))), "bytes": sizes}
     names = ("size", "text_crc32", "law", "shard", "slot", "grown_shard")
     manifest = place(docs, shards).select(
-        F.col("doc_id").alias("__id"), F.col("text_crc32").alias("__crc"), F.col("size").alias("__size"), F.struct("shard", "slot", *names[:3], "grown_shard").alias("__given")
+        F.col("doc_id").alias("id"), F.col("text_crc32").alias("crc"), F.col("size").alias("bytes"), F.struct("shard", "slot", *names[:3], "grown_shard").alias("given")
     )
     return handed_out(docs, own, manifest).select(
-        *(c for c in docs.columns if c not in names), *(F.col(f"__given.{c}").alias(c) for c in names)
+        *(F.col(f"row.`{c}`") for c in docs.columns if c not in names), *(F.col(f"given.{c}").alias(c) for c in names)
     )

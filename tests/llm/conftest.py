@@ -1,6 +1,8 @@
 import pytest
 from pyspark.sql import functions as F
 
+from cartsight.llm import semantic
+
 SCHEMA = "doc_id bigint, text string, lang string, source string, n_chars bigint"
 LONG = " ".join(f"word{i % 977} tail{i % 13}" for i in range(60_000))
 ROWS = [
@@ -33,3 +35,9 @@ def empty(spark):
 def sample(spark):
     """The smallest documents table, whole."""
     return spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+
+
+@pytest.fixture(autouse=True)
+def narrow_space(monkeypatch):
+    """Small matrices for small tables."""
+    monkeypatch.setattr(semantic, "COLUMNS", 1 << 12)
