@@ -25,7 +25,7 @@ from cartsight.llm.components import components
 from cartsight.llm.vectors import Texts, mix, pieces, shingle_sets
 
 #: Runs counted together in a task, and the local count from which a run is reported as frequent.
-COUNTED = 4_000_000
+COUNTED = 1_000_000
 LOCAL = 2
 #: A run is frequent when it has at least this part of all runs (so there are at most 2**22 of them), and at least 8.
 FREQUENT = 2.0**-22
