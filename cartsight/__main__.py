@@ -45,7 +45,7 @@ def main(arguments: Sequence[str] | None = None, spark: SparkSession | None = No
     options = {k: v for k, v in vars(given).items() if k != "command"}
     for title, table in job(spark, **options):
         print(f"\n{title}")
-        table.show(20, truncate=False)
+        table.show(20, truncate=60)
 
 
 if __name__ == "__main__":

@@ -9,17 +9,21 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 _MULTIPLIER = 2654435761
+_HIGH_MULTIPLIER = 1540483477
 _RANGE = 1 << 32
 _HALF_WORD = 1 << 16
 
 
 def key_hash(key: Column, seed: int = 0) -> Column:
-    """``(key + seed) * 2654435761 mod 2**32`` for any bigint key.
+    """``(key + seed) * 2654435761 mod 2**32`` for a key below ``2**32``; a null key hashes as 0.
 
-    The product is formed from two 16-bit halves so that it never leaves the
-    bigint range, whatever the key.
+    The upper half of a larger key is folded in first, so keys that differ only
+    there differ in their hash.  The product is formed from two 16-bit halves so
+    that it never leaves the bigint range, whatever the key.
     """
-    word = F.pmod(F.pmod(key, F.lit(_RANGE)) + F.lit(seed % _RANGE), F.lit(_RANGE))
+    key = F.coalesce(key, F.lit(0)).cast("bigint")
+    folded = F.pmod(key, F.lit(_RANGE)) + F.shiftright(key, 32) * _HIGH_MULTIPLIER
+    word = F.pmod(F.pmod(folded, F.lit(_RANGE)) + F.lit(seed % _RANGE), F.lit(_RANGE))
     high = F.shiftright(word, 16) * _MULTIPLIER % _HALF_WORD * _HALF_WORD
     low = word.bitwiseAND(F.lit(_HALF_WORD - 1)) * _MULTIPLIER
     return (high + low) % _RANGE

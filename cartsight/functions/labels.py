@@ -6,7 +6,6 @@ from pyspark.sql import functions as F
 from cartsight.schema import MONTHS
 
 # Category labels and the text of a set flag.
-OS_LABELS = ("OS_1", "OS_2", "OS_3")
 OS_OTHER = "OS_Other"
 REGION_LABEL = "Region_1"
 REGION_OTHER = "Region_Other"
@@ -16,9 +15,7 @@ FLAG_SET = "True"
 
 
 def operating_system_label(code: Column) -> Column:
-    known = F.get(F.array(*map(F.lit, OS_LABELS)), (code - 1).cast("int"))
-    named = F.when(code.between(1, len(OS_LABELS)), known)
-    return F.coalesce(named, F.lit(OS_OTHER))
+    return F.when(code == 1, "OS_1").when(code == 2, "OS_2").when(code == 3, "OS_3").otherwise(OS_OTHER)
 
 
 def region_label(code: Column) -> Column:

@@ -12,6 +12,18 @@ from cartsight.schema import BATCH_NUMERIC, CATEGORICAL, LABEL, STREAM_NUMERIC
 from cartsight.storage import kept
 
 
+# Labels that a category may have: they are collected, and each widens the feature vector.
+LABEL_LIMIT = 1000
+
+
+def check_labels(train: DataFrame, columns: Sequence[str] = CATEGORICAL, limit: int = LABEL_LIMIT) -> None:
+    """Raise, naming the column, where a category has more labels than ``limit``: dirty lines, not categories."""
+    found = train.agg(*(F.approx_count_distinct(c, 0.02).alias(c) for c in columns)).first()
+    for column in columns:
+        if found[column] > limit:
+            raise ValueError(f"{column} has about {found[column]} labels, more than {limit}; clean it before training")
+
+
 def _index(column: str) -> str:
     return f"{column}_index"
 
@@ -72,11 +84,13 @@ def labelled(df: DataFrame, label: str = LABEL) -> DataFrame:
 
 def string_index(train: DataFrame, df: DataFrame, columns: Sequence[str] = CATEGORICAL) -> DataFrame:
     """Add ``<column>_index``, learned from ``train``."""
+    check_labels(train, columns)
     return indexer(columns).fit(train).transform(df)
 
 
 def one_hot(train: DataFrame, df: DataFrame, columns: Sequence[str] = CATEGORICAL) -> DataFrame:
     """Add one 0/1 column ``<column>_<label>`` per label known from ``train``."""
+    check_labels(train, columns)
     index = indexer(columns).fit(train)
     indexed = index.transform(df)
     # The encoder learns only the number of labels, which the indexer's output declares.
@@ -114,7 +128,9 @@ def slot_names(model: PipelineModel, numeric: Sequence[str], categorical: Sequen
 
 def assemble_features(train: DataFrame, df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Every slot of the batch feature vector as a column of its own."""
+    train = train.select(*BATCH_NUMERIC, *CATEGORICAL)
     with kept(train):
+        check_labels(train)
         model = batch_encoding().fit(train)
     values = vector_to_array("features")
     names = slot_names(model, BATCH_NUMERIC)

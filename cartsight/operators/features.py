@@ -140,9 +140,3 @@ def online_features(texts: DataFrame, keys: tuple[str, ...] = (KEY,)) -> DataFra
         fn.text_flag(F.col(LABEL)).cast("double").alias("label"),
         *(value.alias(name) for name, value in zip(ONLINE_FEATURES, values)),
     )
-
-
-def feature_array(online: DataFrame) -> DataFrame:
-    """Pack the 11 online features into one ``array<double>`` column."""
-    rest = [c for c in online.columns if c not in ONLINE_FEATURES]
-    return online.select(*rest, F.array(*ONLINE_FEATURES).alias("features"))

@@ -9,11 +9,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cartsight.schema import LABEL
-from cartsight.storage import cut_lineage
+from cartsight.storage import kept
 
-# Distinct scores that one task may rank; beyond it they are ranked in ranges of scores.
-RANK_LIMIT = 1_000_000
-SCORE_RANGES = 4096
+# Distinct scores in a range, about; a range is ranked by one task.  The ranges' totals are broadcast, a row per range.
+RANGE_SCORES = 100_000
+MOST_RANGES = 1 << 16
 
 
 def class_distribution(df: DataFrame, *by: str) -> DataFrame:
@@ -42,8 +42,8 @@ def confusion_matrix(scored: DataFrame, label: str = "label", prediction: str =
 
 
 def _class_counts(counts: DataFrame) -> DataFrame:
-    """Per class: rows of it, rows predicted as it, and rows that are both."""
-    cells = counts.groupBy("label", "prediction").agg(F.sum("n").alias("n"))
+    """Per class: rows of it, rows predicted as it, and rows that are both.  Rows without a label or a prediction are left out."""
+    cells = counts.where("label IS NOT NULL AND prediction IS NOT NULL").groupBy("label", "prediction").agg(F.sum("n").alias("n"))
     hit = F.when(F.col("label") == F.col("prediction"), F.col("n")).otherwise(0)
     as_label = F.struct(F.col("label").alias("class"), F.col("n").alias("actual"),
                         F.lit(0).cast("bigint").alias("predicted"), hit.alias("hits"))
@@ -91,30 +91,30 @@ def class_metrics(counts: DataFrame, positive: float = 1.0) -> DataFrame:
     return _class_counts(counts).agg(_accuracy(), *of_class)
 
 
-def curve_areas(
-    counts: DataFrame, rank_limit: int = RANK_LIMIT, score_ranges: int = SCORE_RANGES
-) -> DataFrame:
+def curve_areas(counts: DataFrame, score_ranges: int | None = None) -> DataFrame:
     """Exact areas under the ROC and precision-recall curves, ties included, from a tally.
 
-    Null when only one class is present.  The distinct scores are written out once.
-    Up to ``rank_limit`` of them are ranked together; more are ranked inside
-    ``score_ranges`` score ranges, each starting from the totals of the ranges above.
+    Null when only one class is present.  Rows whose score is null or not a
+    number, and rows whose label is neither 0 nor 1, cannot be ranked and are
+    left out.  The distinct scores are ranked inside score ranges, each starting
+    from the totals of the ranges above; the number of ranges follows that of
+    the scores unless it is given.
     """
-    points = cut_lineage(_points(counts))
-    return _areas(points, points.count(), rank_limit, score_ranges)
+    points = _points(counts)
+    with kept(points):
+        areas = _areas(points, score_ranges or points.count() // RANGE_SCORES)
+        return counts.sparkSession.createDataFrame(areas.collect(), areas.schema)
 
 
 def _points(counts: DataFrame) -> DataFrame:
-    """Rows of either class per score."""
-    positives = F.sum(F.when(F.col("label") == 1, F.col("n")).otherwise(0))
-    return counts.groupBy("score").agg(positives.alias("pos"), (F.sum("n") - positives).alias("neg"))
+    """Rows of either class per score that can be ranked."""
+    usable = counts.where(F.col("score").isNotNull() & ~F.isnan("score") & F.col("label").isin(0.0, 1.0))
+    of_class = {name: F.sum(F.when(F.col("label") == value, F.col("n")).otherwise(0)) for name, value in (("pos", 1), ("neg", 0))}
+    return usable.groupBy("score").agg(*(total.alias(name) for name, total in of_class.items()))
 
 
-def _areas(points: DataFrame, size: int, rank_limit: int, score_ranges: int) -> DataFrame:
-    if size <= rank_limit:
-        ranked = _running(points, Window.orderBy(F.desc("score")))
-    else:
-        ranked = _ranked_in_ranges(points, score_ranges)
+def _areas(points: DataFrame, score_ranges: int) -> DataFrame:
+    ranked = _ranked_in_ranges(points, min(MOST_RANGES, max(2, score_ranges)))
     pos_before = F.col("pos_upto") - F.col("pos")
     all_before = pos_before + F.col("neg_upto") - F.col("neg")
     precision = F.col("pos_upto") / (F.col("pos_upto") + F.col("neg_upto"))
@@ -140,7 +140,7 @@ def _ranked_in_ranges(points: DataFrame, score_ranges: int) -> DataFrame:
     placed = ranges.transform(points)
     totals = placed.groupBy("range").agg(*(F.sum(c).alias(f"{c}_upto") for c in ("pos", "neg")))
     above = Window.orderBy(F.desc("range")).rowsBetween(Window.unboundedPreceding, -1)
-    # At most ``score_ranges`` rows, whatever the number of scores.
+    # At most ``score_ranges`` rows.
     offsets = totals.select(
         "range", *(F.coalesce(F.sum(f"{c}_upto").over(above), F.lit(0)).alias(f"{c}_above") for c in ("pos", "neg"))
     )
@@ -150,20 +150,16 @@ def _ranked_in_ranges(points: DataFrame, score_ranges: int) -> DataFrame:
     )
 
 
-def evaluate(
-    counts: DataFrame, positive: float | None = None,
-    rank_limit: int = RANK_LIMIT, score_ranges: int = SCORE_RANGES,
-) -> DataFrame:
+def evaluate(counts: DataFrame, positive: float | None = None, score_ranges: int | None = None) -> DataFrame:
     """One row: both areas and the four class metrics, of one class if ``positive`` is given.
 
-    The tally is written out once and serves all of them.
+    The tally is held while all of them read it, and let go; the row is computed at once.
     """
-    counts = cut_lineage(counts)
-    areas = _areas(_points(counts), counts.count(), rank_limit, score_ranges)
-    summary = classification_metrics(counts) if positive is None else class_metrics(counts, positive)
-    # Both sides are single rows.
-    numbered = (one.withColumn("row", F.lit(1)) for one in (areas, summary))
-    return next(numbered).join(next(numbered), "row").drop("row")
+    with kept(counts):
+        areas = curve_areas(counts, score_ranges).first().asDict()
+        summary = classification_metrics(counts) if positive is None else class_metrics(counts, positive)
+        values = {**areas, **summary.first().asDict()}
+    return counts.sparkSession.createDataFrame([tuple(values.values())], ", ".join(f"{name} double" for name in values))
 
 
 def preview(df: DataFrame, n: int, key: str, *columns: str) -> DataFrame:

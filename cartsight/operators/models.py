@@ -11,10 +11,10 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cartsight.operators.encode import batch_encoding, encoding_stages, labelled
+from cartsight.operators.encode import batch_encoding, check_labels, encoding_stages, labelled, stream_encoding
 from cartsight.operators.metrics import evaluate, tally
 from cartsight.operators.split import split_train_test, with_fold
-from cartsight.schema import BATCH_NUMERIC, KEY, LABEL, STREAM_NUMERIC
+from cartsight.schema import BATCH_NUMERIC, CATEGORICAL, KEY, LABEL, STREAM_NUMERIC
 from cartsight.sources.files import SLICE
 from cartsight.storage import kept
 
@@ -25,7 +25,8 @@ GRID = {"maxDepth": (3, 5, 10), "maxBins": (32, 64)}
 FOLDS = 5
 SEED = 42
 PARALLELISM = 4
-FOLDS_AT_ONCE = 2
+# Each fold under way holds its encoded rows, and each growing tree its binned ones: one at a time is the choice for large data.
+FOLDS_AT_ONCE = 1
 
 
 def tree(seed: int = SEED, **settings: int) -> DecisionTreeClassifier:
@@ -37,13 +38,21 @@ def batch_tree() -> Pipeline:
 
 
 def stream_tree() -> Pipeline:
-    return Pipeline(stages=[*encoding_stages(STREAM_NUMERIC, scale=False), tree(**STREAM_TREE)])
+    return Pipeline(stages=[*stream_encoding().getStages(), tree(**STREAM_TREE)])
 
 
-def fit_tree(train: DataFrame, estimator: Pipeline | None = None) -> PipelineModel:
-    """Fit on ``train``, which is read several times and therefore kept meanwhile."""
-    train = labelled(train)
-    with kept(train):
+def learned(df: DataFrame, numeric: Sequence[str] = BATCH_NUMERIC, *more: str) -> DataFrame:
+    """What a tree learns from: the label, its numbers and categories, and ``more``."""
+    return labelled(df).select(LABEL, *more, *numeric, *CATEGORICAL)
+
+
+def fit_tree(
+    train: DataFrame, estimator: Pipeline | None = None, numeric: Sequence[str] = BATCH_NUMERIC, hold: bool = True
+) -> PipelineModel:
+    """Fit on ``train``, which is read several times: it is held meanwhile, unless the caller holds it already."""
+    train = learned(train, numeric)
+    with kept(*[train] * hold):
+        check_labels(train)
         return (estimator or batch_tree()).fit(train)
 
 
@@ -77,9 +86,10 @@ def compare_slices(features: DataFrame) -> DataFrame:
 
     def measured(scope: str, chosen: Column) -> DataFrame:
         train, test = split_train_test(features.where(chosen).drop(SLICE))
-        metrics = evaluate_tree(fit_tree(train).transform(test))
+        metrics = evaluate_tree(fit_tree(train, hold=False).transform(test))
         return metrics.select(F.lit(scope).alias("scope"), "*")
 
+    features = features.select(KEY, SLICE, LABEL, *BATCH_NUMERIC, *CATEGORICAL)
     with kept(features), ThreadPool(len(scopes)) as pool:
         return reduce(DataFrame.unionByName, pool.starmap(measured, scopes.items()))
 
@@ -106,17 +116,18 @@ def _fold_accuracies(folded: DataFrame, fold: int, points: list[dict[str, int]],
 
 def cross_validate(
     train: DataFrame, grid: dict[str, Sequence[int]] = GRID, folds: int = FOLDS,
-    parallelism: int = PARALLELISM, key: str = KEY,
+    parallelism: int = PARALLELISM, folds_at_once: int = FOLDS_AT_ONCE, key: str = KEY,
 ) -> list[tuple[dict[str, int], float]]:
     """Mean accuracy over the folds for each grid point.
 
-    ``parallelism`` trees grow at once.  ``FOLDS_AT_ONCE`` folds are under way, so
-    that one is encoded or scored while the trees of another grow; no more than
-    their encoded rows are held besides the features.
+    ``parallelism`` trees grow at once.  With several ``folds_at_once``, one is
+    encoded or scored while the trees of another grow; the encoded rows of each
+    are held besides the features.
     """
     points = grid_points(grid)
-    folded = labelled(with_fold(train, folds, key))
-    with kept(folded), ThreadPool(parallelism) as growing, ThreadPool(FOLDS_AT_ONCE) as under_way:
+    folded = learned(with_fold(train, folds, key), BATCH_NUMERIC, "fold")
+    with kept(folded), ThreadPool(parallelism) as growing, ThreadPool(folds_at_once) as under_way:
+        check_labels(folded)
         by_fold = under_way.map(
             lambda fold: _fold_accuracies(folded, fold, points, growing), range(folds), chunksize=1
         )
@@ -154,9 +165,16 @@ def tuned_tree(train: DataFrame, **options) -> tuple[dict[str, int], PipelineMod
 
 
 def best_model_metrics(features: DataFrame, **options) -> DataFrame:
-    """Settings of the tuned tree and its quality on the held-out rows."""
+    """Settings of the tuned tree, its quality on the held-out rows, and the four cells of its confusion matrix."""
     train, test = split_train_test(features)
     best, model = tuned_tree(train, **options)
     settings = {**best, "minInstancesPerNode": model.stages[-1].getMinInstancesPerNode()}
     named = (F.lit(value).alias(name) for name, value in settings.items())
-    return evaluate_tree(model.transform(test)).select(*named, "*")
+    counts = tree_tally(model.transform(test))
+    with kept(counts):
+        cells = {
+            f"label_{label}_as_{guess}": F.coalesce(F.sum(F.when((F.col("label") == label) & (F.col("prediction") == guess), F.col("n"))), F.lit(0))
+            for label in (0, 1) for guess in (0, 1)
+        }
+        found = counts.agg(*(cell.alias(name) for name, cell in cells.items())).first().asDict()
+        return evaluate(counts).select(*named, "*", *(F.lit(n).cast("bigint").alias(name) for name, n in found.items()))

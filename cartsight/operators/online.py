@@ -1,6 +1,6 @@
 """Logistic regression by gradient descent whose weights can be carried from batch to batch."""
 
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -16,9 +16,6 @@ TOLERANCE = 0.001
 THRESHOLD = 0.5
 ZERO_WEIGHTS = (0.0,) * len(ONLINE_FEATURES)
 
-# Rows (12 doubles each, so 48 MB) that a single task may descend on by itself.
-TASK_ROWS = 500_000
-
 
 def score(online: DataFrame, weights: Sequence[float], digits: int | None = None) -> DataFrame:
     """Add ``score`` and the 0/1 ``prediction`` to rows that keep their label: no join needed."""
@@ -43,53 +40,23 @@ def gradient_step(
 
 
 def descend(
-    online: DataFrame, rows: int, weights: Sequence[float] = ZERO_WEIGHTS,
+    online: DataFrame, weights: Sequence[float] = ZERO_WEIGHTS,
     step_size: float = STEP_SIZE, steps: int = STEPS, tolerance: float = TOLERANCE,
-    task_rows: int = TASK_ROWS,
 ) -> tuple[float, ...]:
-    """Weights after up to ``steps`` full-batch steps of shrinking size.
+    """Weights after up to ``steps`` full-batch steps of shrinking size, each one aggregate over ``online``.
 
     Stops early when a step after the first moves less than ``tolerance`` of the
-    weights' length (of 1 if they are shorter).  ``rows`` is the row count of
-    ``online``, which should be persisted.  Small batches descend inside one task,
-    in one job; for larger ones every step is a distributed aggregate.
+    weights' length (of 1 if they are shorter).  ``online`` should be persisted;
+    a batch without rows leaves the weights as they are.
     """
-    rule = _descent(step_size, steps, tolerance)
-    if rows <= task_rows:
-        fitted = online.select("label", *ONLINE_FEATURES).coalesce(1).mapInPandas(
-            _task(rule, tuple(weights)), "weights array<double>"
-        )
-        return tuple(fitted.first()["weights"])
-    return tuple(rule(lambda w: np.array(mean_gradient(online, w).first()), weights).tolist())
-
-
-def _descent(step_size: float, steps: int, tolerance: float) -> Callable:
-    """The update rule, closed over its settings so that it can be sent to a task."""
-
-    def run(gradient, start):
-        current = np.asarray(start, dtype=float)
-        for i in range(1, steps + 1):
-            after = current - step_size / np.sqrt(i) * gradient(current)
-            moved = np.linalg.norm(after - current)
-            current = after
-            if i > 1 and moved < tolerance * max(np.linalg.norm(current), 1.0):
-                break
-        return current
-
-    return run
-
-
-def _task(rule: Callable, start: tuple[float, ...]) -> Callable:
-    def fit(frames):
-        import pandas as pd
-
-        batch = pd.concat(frames).to_numpy(dtype=float)
-        label, x = batch[:, 0], np.ascontiguousarray(batch[:, 1:])
-
-        def gradient(weights):
-            margin = np.clip(x @ weights, -700.0, 700.0)
-            return x.T @ (1 / (1 + np.exp(-margin)) - label) / len(label)
-
-        yield pd.DataFrame({"weights": [rule(gradient, start).tolist()]})
-
-    return fit
+    current = np.asarray(weights, dtype=float)
+    for i in range(1, steps + 1):
+        gradient = mean_gradient(online, current.tolist()).first()
+        if gradient[0] is None:
+            break
+        after = current - step_size / np.sqrt(i) * np.array(gradient)
+        moved = np.linalg.norm(after - current)
+        current = after
+        if i > 1 and moved < tolerance * max(np.linalg.norm(current), 1.0):
+            break
+    return tuple(current.tolist())

@@ -10,12 +10,11 @@ from pyspark.sql import types as T
 from cartsight.functions import FLOAT_TEXT, INTEGER_TEXT
 from cartsight.schema import CATEGORICAL, KEY, LABEL, RATIOS, STREAM_NUMERIC
 
-# Columns a micro-batch row must have, the type majority and the sample display.
+# Columns a micro-batch row must have, the type majority and the number of samples.
 STREAM_REQUIRED = (LABEL, *STREAM_NUMERIC, *CATEGORICAL, "Weekend")
 KINDS = ("integer", "float", "string", "empty")
 MAJORITY = 0.8
 SAMPLES = 3
-SAMPLE_WIDTH = 40
 
 
 def any_null(columns: list[str]) -> Column:
@@ -65,26 +64,25 @@ def fill_null_ratios(df: DataFrame, columns: tuple[str, ...] = RATIOS) -> DataFr
 def profile_columns(texts: DataFrame, key: str = KEY) -> DataFrame:
     """What the values of each text column look like, one row per column.
 
-    Values are classified once and counted per column before the shuffle, so a
-    task sends one row per column however many rows it read.  The samples come
-    from the first rows by ``key`` (a bounded top-k, not a sort).
+    All columns are counted in one aggregate, whose single row is then turned
+    into a row per column.  The samples are the whole values of the first rows by
+    ``key`` (a bounded top-k, not a sort).
     """
     columns = [c for c in texts.columns if c != key]
-    values = texts.unpivot([], columns, "column_name", "value")
-    counts = (
-        values.select("column_name", _kind(F.col("value")).alias("kind"))
-        .groupBy("column_name")
-        .agg(
-            F.count(F.lit(1)).alias("n_rows"),
-            *(F.count_if(F.col("kind") == kind).alias(f"n_{kind}") for kind in KINDS),
-        )
+    kinds = {c: _kind(F.col(c)) for c in columns}
+    tests = {f"{kind}_{i}": F.count_if(kinds[c] == kind) for i, c in enumerate(columns) for kind in KINDS}
+    counted = texts.agg(F.count(F.lit(1)).alias("n_rows"), *(test.alias(name) for name, test in tests.items()))
+    per_column = (
+        F.struct(F.lit(c).alias("column_name"), "n_rows", *(F.col(f"{kind}_{i}").alias(f"n_{kind}") for kind in KINDS))
+        for i, c in enumerate(columns)
     )
+    counts = counted.select(F.inline(F.array(*per_column)))
     first = texts.orderBy(key).limit(SAMPLES)
     samples = (
         first.unpivot([key], columns, "column_name", "value")
         .groupBy("column_name")
         .agg(F.sort_array(F.collect_list(F.struct(key, "value"))).alias("kept"))
-        .select("column_name", _shown(F.col("kept.value")).alias("sample_values"))
+        .select("column_name", F.concat_ws(", ", F.col("kept.value")).alias("sample_values"))
     )
     share = F.col("n_rows") * F.lit(MAJORITY)
     main_type = (
@@ -105,9 +103,3 @@ def _kind(text: Column) -> Column:
         .when(text.rlike(FLOAT_TEXT), "float")
         .otherwise("string")
     )
-
-
-def _shown(values: Column) -> Column:
-    text = F.concat_ws(", ", values)
-    clipped = F.concat(F.left(text, F.lit(SAMPLE_WIDTH - 3)), F.lit("..."))
-    return F.when(F.length(text) > SAMPLE_WIDTH, clipped).otherwise(text)

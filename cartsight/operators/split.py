@@ -18,16 +18,11 @@ def is_train(key: str = KEY, train: float = 0.8, seed: int = 0) -> Column:
 def split_train_test(
     df: DataFrame, train: float = 0.8, key: str = KEY, seed: int = 0
 ) -> tuple[DataFrame, DataFrame]:
-    """Two disjoint parts that make up ``df``; a filter each, no shuffle."""
+    """Two disjoint parts that make up ``df``; a filter each, no shuffle.  Rows with a null key go where key 0 goes."""
     chosen = is_train(key, train, seed)
     return df.where(chosen), df.where(~chosen)
 
 
-def random_split(df: DataFrame, weights: list[float], seed: int) -> list[DataFrame]:
-    """The engine's own split, for data without a key.  Its parts follow the partition layout."""
-    return df.randomSplit(weights, seed)
-
-
 def with_fold(df: DataFrame, folds: int = 5, key: str = KEY, seed: int = 0) -> DataFrame:
     """Add ``fold``, independent of the train/test bucket of the same key."""
     return df.withColumn("fold", bucket(F.col(key), folds, seed, skip=_PERCENT))
@@ -46,10 +41,12 @@ def cap_rows(df: DataFrame, n: int, key: str = KEY, seed: int = 0) -> DataFrame:
 def split_exact_halves(df: DataFrame, key: str = KEY, seed: int = 1) -> DataFrame:
     """Add ``slice``: 1 for the first ``count div 2`` rows in hash order, 2 for the rest.
 
-    ``key`` must be unique.  Ranking all rows would be one task's work, so the
-    row at the boundary is found by counting: rows per hash prefix (4,096 at
-    most), then per hash inside one prefix (2**20 at most), then by key inside
-    one hash.  The passes read the key column only, and no row is moved.
+    Ranking all rows would be one task's work, so the row at the boundary is
+    found by counting: rows per hash prefix (4,096 at most), then per hash
+    inside one prefix (2**20 at most), then by key inside one hash.  The passes
+    read the key column only, and no row is moved.  A null key is below all
+    others of its hash.  Where the key at the boundary occurs more than once, no
+    rule can tell its rows apart, and the query fails.
     """
     hashed = df.select(F.col(key).alias("key"), key_hash(F.col(key), seed).alias("hash"))
     hashed = hashed.withColumn("prefix", F.shiftright("hash", _FINE_BITS))
@@ -66,7 +63,10 @@ def split_exact_halves(df: DataFrame, key: str = KEY, seed: int = 1) -> DataFram
     )
     tied = hashed.drop("prefix").join(F.broadcast(_holding(hashes, "hash")), "hash")
     place = F.row_number().over(Window.partitionBy("hash").orderBy("key"))
-    last = tied.withColumn("place", place).where("place = rest").select(F.struct("hash", "key"))
+    alike = F.count(F.lit(1)).over(Window.partitionBy("hash", "key"))
+    unique = F.when(F.col("alike") > 1, F.raise_error(F.lit("exact halves need a unique key"))).otherwise(F.col("hash"))
+    placed = tied.withColumns({"place": place, "alike": alike}).where("place = rest")
+    last = placed.select(F.struct(unique.cast("bigint").alias("hash"), "key"))
 
     position = F.struct(key_hash(F.col(key), seed).alias("hash"), F.col(key).alias("key"))
     return df.withColumn(SLICE, F.when(position <= last.scalar(), 1).otherwise(2))

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from cartsight.functions import content_key
 from cartsight.operators import features, metrics, models, quality, split
 from cartsight.schema import KEY, KEYED_SCHEMA, LABEL, SESSION_SCHEMA
 from cartsight.sources import line_stream, read_sessions, read_texts, with_key, write_slices
@@ -22,6 +23,10 @@ def prepare(spark: SparkSession, features: str, target: str, out: str) -> Report
     *fields, label = KEYED_SCHEMA.fields
     known = read_sessions(spark, features, StructType(fields))
     wanted = read_sessions(spark, target, StructType([fields[0], label]))
+    for name, rows in (("features", known), ("target", wanted)):
+        repeated = rows.groupBy(KEY).count().where("count > 1").first()
+        if repeated is not None:
+            raise ValueError(f"{KEY} {repeated[KEY]} occurs {repeated['count']} times in the {name} file")
     sessions = split.join_features_target(known, wanted)
     write_slices(split.split_exact_halves(sessions), out)
     written = spark.read.option("header", True).csv(out)
@@ -31,12 +36,12 @@ def prepare(spark: SparkSession, features: str, target: str, out: str) -> Report
 def profile(spark: SparkSession, paths: Sequence[str]) -> Report:
     texts = read_texts(spark, paths)
     if KEY not in texts.columns:
-        texts = texts.withColumn(KEY, F.monotonically_increasing_id())
+        texts = texts.withColumn(KEY, content_key(*texts.columns))
     yield "Columns", quality.profile_columns(texts)
 
 
 def train(spark: SparkSession, paths: Sequence[str], tune: bool = False) -> Report:
-    sessions = with_key(read_sessions(spark, paths, SESSION_SCHEMA, view="sessions_data"))
+    sessions = with_key(read_sessions(spark, paths, SESSION_SCHEMA, view="session_records"))
     derived = features.batch_features(sessions)
     yield "Null values", quality.null_columns(derived)
     yield "Rows with null values", quality.rows_with_nulls(derived)

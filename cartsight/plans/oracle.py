@@ -299,7 +299,7 @@ def _profile(name: str) -> str:
     return f"""SELECT '{name}' AS column_name,
       CASE WHEN n_integer > n_rows * 0.8 THEN 'integer' WHEN n_float > n_rows * 0.8 THEN 'float' ELSE 'string' END AS main_type,
       n_rows, n_integer, n_float, n_rows - n_integer - n_float - n_empty AS n_string, n_empty,
-      CASE WHEN length(shown) > 40 THEN left(shown, 37) || '...' ELSE shown END AS sample_values
+      shown AS sample_values
     FROM (SELECT count(*) AS n_rows, count(*) FILTER (WHERE regexp_matches(v, {whole})) AS n_integer,
         count(*) FILTER (WHERE regexp_matches(v, {number}) AND NOT regexp_matches(v, {whole})) AS n_float,
         count(*) FILTER (WHERE v = '') AS n_empty
@@ -386,3 +386,41 @@ SELECT round(sum(width * (prec + prec_before) / 2), 6) AS auc_pr FROM steps"""
 ORACLES["sgd_gradient_step"] = _with(*_O) + "SELECT {} FROM online".format(
     _list(f'round(-0.1 * avg((0.5 - label) * "{c}"), 6) AS "{c}"' for c in ONLINE_FEATURES)
 )
+ORACLES["view_sessions"] = ORACLES["scan_csv_sessions"]
+_PLAIN = (*_O, f"scored AS (SELECT label, round(1 / (1 + exp(-({_MARGIN}))), 12) AS score FROM online)")
+ORACLES["auc_unrounded"] = _with(*_PLAIN) + """, points AS (
+  SELECT score, sum(label)::DOUBLE AS pos, sum(1 - label)::DOUBLE AS neg FROM scored GROUP BY score),
+curve AS (
+  SELECT *, sum(pos) OVER w AS pos_upto, sum(pos + neg) OVER w AS all_upto, sum(pos) OVER () AS p, sum(neg) OVER () AS n
+  FROM points WINDOW w AS (ORDER BY score DESC))
+SELECT round(sum(neg * (pos_upto - pos / 2)) / any_value(p * n), 6) AS auc_roc,
+  round(sum(pos * (pos_upto / all_upto + coalesce((pos_upto - pos) / nullif(all_upto - pos - neg, 0), pos_upto / all_upto)) / 2) / any_value(p), 6) AS auc_pr
+FROM curve"""
+
+# Streams: the four arrivals are chosen by key, one micro-batch each
+
+_ARRIVAL = f"CAST({_HASH.format('')} % 4 AS BIGINT)"
+ORACLES["stream_tree_guards"] = _with(*_BROKEN, _STREAM) + f"""SELECT {_ARRIVAL} AS batch_id, 'ok' AS status, count(*) AS n_rows,
+  count(*) FILTER (WHERE "BounceRates" IS NOT NULL AND "ExitRates" IS NOT NULL AND "PageValues" IS NOT NULL) AS n_clean
+FROM stream GROUP BY ALL"""
+
+_STEPS = 5
+_AT = " + ".join(f'w[{i}] * "{x}"' for i, x in enumerate(ONLINE_FEATURES, 1))
+_NEXT = _list(
+    f'w[{i}] - 0.1 / sqrt(k % {_STEPS} + 1) * avg((1 / (1 + exp(-({_AT}))) - label) * "{x}")' for i, x in enumerate(ONLINE_FEATURES, 1)
+)
+_DESCENT = f"""arrived AS (SELECT *, {_ARRIVAL} AS batch_id FROM online),
+descent AS (
+  SELECT 0 AS k, {[0.0] * len(ONLINE_FEATURES)}::DOUBLE[] AS w
+  UNION ALL
+  SELECT k + 1, [{_NEXT}] FROM descent JOIN arrived ON batch_id = k // {_STEPS} WHERE k < {4 * _STEPS} GROUP BY k, w),
+guessed AS (
+  SELECT a.batch_id, w, label, CAST(1 / (1 + exp(-({_AT}))) > 0.5 AS INTEGER) AS guess
+  FROM descent JOIN arrived a ON k = (a.batch_id + 1) * {_STEPS}),
+hits AS (
+  SELECT batch_id, w, count(*) AS n_rows, sum(guess * label)::DOUBLE AS tp, sum(guess)::DOUBLE AS guesses, sum(label)::DOUBLE AS actual,
+    count(*) FILTER (WHERE guess = label)::DOUBLE AS right_ones FROM guessed GROUP BY batch_id, w)"""
+ORACLES["stream_online_weights"] = _with(*_O, _DESCENT).replace("WITH ", "WITH RECURSIVE ", 1) + """SELECT batch_id, n_rows,
+  round(right_ones / n_rows, 6) AS accuracy, round(coalesce(tp / nullif(guesses, 0), 0), 6) AS precision,
+  round(coalesce(tp / nullif(actual, 0), 0), 6) AS recall, round(coalesce(2 * tp / nullif(guesses + actual, 0), 0), 6) AS f1, {}
+FROM hits""".format(_list(f'round(w[{i}], 6) AS "w_{x}"' for i, x in enumerate(ONLINE_FEATURES, 1)))

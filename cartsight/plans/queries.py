@@ -1,11 +1,11 @@
 """The registered queries: each operator over the session records of a table folder."""
 
 from collections.abc import Callable
-from math import ceil
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming import StreamingQuery
 
 from cartsight import functions as fn
 from cartsight.operators import encode, features, metrics, models, online, quality, split
@@ -99,7 +99,15 @@ def write_slices_csv(spark, folder):
 @query
 def union_slices(spark, folder):
     path = _written_slices(spark, folder)
-    return read_sessions(spark, [f"{path}/slice=1", f"{path}/slice=2"], KEYED_SCHEMA, view="sessions_data")
+    return read_sessions(spark, [f"{path}/slice=1", f"{path}/slice=2"], KEYED_SCHEMA, view="session_records")
+
+
+@query
+def view_sessions(spark, folder):
+    path = shared_path(spark, "sessions")
+    shop_sessions(spark, folder).write.option("header", True).csv(path)
+    read_sessions(spark, path, KEYED_SCHEMA, view="session_records")
+    return spark.sql("SELECT * FROM session_records")
 
 
 @query
@@ -318,6 +326,13 @@ def auc_pr(spark, folder):
     return _areas(spark, folder).select("auc_pr")
 
 
+@query
+def auc_unrounded(spark, folder):
+    # 12 digits, since engines differ in the last bits of a sum.
+    scored = online.score(_online(spark, folder), SCORE_WEIGHTS, 12)
+    return rounded(metrics.curve_areas(metrics.tally(scored, prediction=None), score_ranges=16))
+
+
 @query
 def sgd_gradient_step(spark, folder):
     return rounded(online.gradient_step(_online(spark, folder)))
@@ -351,45 +366,67 @@ def slice_model_comparison(spark, folder):
 # Streams: the lines of all sessions, as files that arrive in a few micro-batches
 
 
-def _line_source(spark: SparkSession, folder: str) -> DataFrame:
-    path = shared_path(spark, "lines")
-    lines = session_lines(shop_sessions(spark, folder))
-    arrival = fn.bucket(F.col(KEY), STREAM_BATCHES).alias("arrival")
-    lines.select("value", arrival).write.partitionBy("arrival").text(path)
-    files = len(spark.read.text(path).inputFiles())
-    return line_stream(spark, path, maxFilesPerTrigger=ceil(files / STREAM_BATCHES))
+def _run_arrivals(lines: DataFrame, start: Callable[[DataFrame, str], StreamingQuery]) -> None:
+    """Let the lines arrive in ``STREAM_BATCHES`` parts, chosen by key, and run the stream after each: a part is a micro-batch."""
+    spark = lines.sparkSession
+    path, state = shared_path(spark, "lines"), shared_path(spark, "state")
+    arrival = fn.bucket(F.col(KEY), STREAM_BATCHES)
+    for i in range(STREAM_BATCHES):
+        lines.where(arrival == i).select("value").write.mode("append").text(path)
+        run(start(line_stream(spark, path), state))
 
 
 @query
 def stream_parse_sessions(spark, folder):
     out = shared_path(spark, "parsed")
-    run(parsed_sink(_line_source(spark, folder), out, shared_path(spark, "state"), available_now=True))
+    _run_arrivals(session_lines(shop_sessions(spark, folder)), lambda lines, state: parsed_sink(lines, out, state, available_now=True))
     return spark.read.parquet(out).drop(KEY)
 
 
 def _tree_metrics(spark: SparkSession, folder: str, **options) -> DataFrame:
     table = shared_path(spark, "tree")
-    lines = _line_source(spark, folder)
-    run(tree_stream(lines, table, shared_path(spark, "state"), available_now=True, **options))
+    _run_arrivals(
+        session_lines(shop_sessions(spark, folder)), lambda lines, state: tree_stream(lines, table, state, available_now=True, **options)
+    )
     return rounded(read_batches(spark, table, tree_stream_module.METRICS))
 
 
 @query
 def stream_tree_metrics(spark, folder):
-    return _tree_metrics(spark, folder)
+    return _tree_metrics(spark, folder, max_train_rows=200)
 
 
 @query
 def stream_tree_metrics_all_rows(spark, folder):
-    return _tree_metrics(spark, folder, max_rows=None)
+    return _tree_metrics(spark, folder)
 
 
 @query
-def stream_online_metrics(spark, folder):
+def stream_tree_guards(spark, folder):
+    table = shared_path(spark, "tree")
+    _run_arrivals(damaged_lines(shop_sessions(spark, folder)), lambda lines, state: tree_stream(lines, table, state, available_now=True))
+    return read_batches(spark, table, tree_stream_module.METRICS).select("batch_id", "status", "n_rows", "n_clean")
+
+
+def _online_rows(spark: SparkSession, folder: str, **options) -> DataFrame:
+    """Quality, first pairs and weights of every micro-batch."""
     weights, table = shared_path(spark, "weights"), shared_path(spark, "online")
-    lines = _line_source(spark, folder)
-    run(online_stream(lines, weights, table, shared_path(spark, "state"), available_now=True))
-    quality_rows = read_batches(spark, table, online_stream_module.METRICS).drop("preview")
+    _run_arrivals(
+        session_lines(shop_sessions(spark, folder)), lambda lines, state: online_stream(lines, weights, table, state, available_now=True, **options)
+    )
+    quality_rows = read_batches(spark, table, online_stream_module.METRICS)
+    quality_rows = quality_rows.withColumn("preview", F.to_json("preview"))
     kept_weights = read_batches(spark, weights, online_stream_module.WEIGHTS)
     named = (F.get("weights", F.lit(i)).alias(f"w_{c}") for i, c in enumerate(ONLINE_FEATURES))
     return rounded(quality_rows.join(kept_weights.select("batch_id", *named), "batch_id"))
+
+
+@query
+def stream_online_metrics(spark, folder):
+    return _online_rows(spark, folder)
+
+
+@query
+def stream_online_weights(spark, folder):
+    rows = _online_rows(spark, folder, steps=5, tolerance=0.0)
+    return rows.drop("status", "auc_roc", "auc_pr", "preview")

@@ -1,28 +1,21 @@
 """Where intermediate tables go: the shared folder named by ``spark.checkpoint.dir``."""
 
-import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
-from functools import lru_cache
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 
-@lru_cache(maxsize=1)
-def _local_base() -> str:
-    return tempfile.mkdtemp(prefix="cartsight-")
-
-
 def shared_base(spark: SparkSession) -> str:
     base = spark.conf.get("spark.checkpoint.dir", None)
     if base:
         return base.rstrip("/")
     master = spark.conf.get("spark.master", "")
-    if not master.startswith("local"):
+    if not master.startswith("local") or master.startswith("local-cluster"):
         raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
-    return _local_base()
+    return f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/intermediate"
 
 
 def shared_path(spark: SparkSession, purpose: str) -> str:

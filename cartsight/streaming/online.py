@@ -9,11 +9,11 @@ from pyspark.sql.streaming import StreamingQuery
 
 from cartsight.operators.features import online_features
 from cartsight.operators.metrics import evaluate, tally
-from cartsight.operators.online import STEP_SIZE, STEPS, ZERO_WEIGHTS, descend, score
+from cartsight.operators.online import STEP_SIZE, STEPS, TOLERANCE, ZERO_WEIGHTS, descend, score
 from cartsight.schema import KEY
 from cartsight.storage import kept
 from cartsight.streaming.lines import parse_stream
-from cartsight.streaming.tables import in_layout, read_batch, start, write_batch
+from cartsight.streaming.tables import has_batch, in_layout, read_batch, start, write_batch
 
 # Fixed value: batch interval.
 EVERY = "5 seconds"
@@ -31,8 +31,14 @@ MODES = ("train_then_test", "test_then_train")
 def weights_before(
     spark: SparkSession, table: str, batch_id: int, initial: Sequence[float] = ZERO_WEIGHTS
 ) -> tuple[float, ...]:
-    """The weights left by the previous batch; a replayed batch finds the same ones."""
+    """The weights left by the previous batch; a replayed batch finds the same ones.
+
+    A first batch over a table that holds later batches belongs to a new
+    checkpoint over an old table: two runs would mix, so it is refused.
+    """
     if batch_id == 0:
+        if has_batch(spark, table, 1):
+            raise ValueError(f"{table} holds batches of an earlier run; start with a new table")
         return tuple(initial)
     return tuple(read_batch(spark, table, batch_id - 1, WEIGHTS).first()["weights"])
 
@@ -40,7 +46,7 @@ def weights_before(
 def online_batch(
     batch: DataFrame, batch_id: int, weights_table: str, metrics_table: str,
     mode: str = MODES[0], initial: Sequence[float] = ZERO_WEIGHTS,
-    step_size: float = STEP_SIZE, steps: int = STEPS, key: str = KEY,
+    step_size: float = STEP_SIZE, steps: int = STEPS, tolerance: float = TOLERANCE, key: str = KEY,
 ) -> None:
     """Update the weights on one batch of online features and record its quality.
 
@@ -53,7 +59,7 @@ def online_batch(
     before = weights_before(spark, weights_table, batch_id, initial)
     with kept(batch):
         rows = batch.count()
-        after = descend(batch, rows, before, step_size, steps) if rows else before
+        after = descend(batch, before, step_size, steps, tolerance) if rows else before
         if rows:
             scored = score(batch, after if mode == MODES[0] else before)
             first = scored.orderBy(key).limit(PREVIEW)

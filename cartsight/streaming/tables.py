@@ -30,6 +30,11 @@ def read_batch(spark: SparkSession, table: str, batch_id: int, schema: str) -> D
     return spark.read.schema(schema).parquet(_folder(table, batch_id))
 
 
+def has_batch(spark: SparkSession, table: str, batch_id: int) -> bool:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(_folder(table, batch_id))
+    return folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder)
+
+
 def read_batches(spark: SparkSession, table: str, schema: str) -> DataFrame:
     """All rows so far, with their ``batch_id``."""
     rows = spark.read.schema(f"batch_id BIGINT, {schema}").parquet(table)

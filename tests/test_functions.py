@@ -100,7 +100,7 @@ KEYS = [0, 1, 2, 99, 2**31, 2**32 - 1, 2**32, 2**32 + 5, 2**40 + 17, 2**63 - 1,
 
 @pytest.mark.parametrize("seed", [0, 1, 42])
 def test_key_hash(spark, seed):
-    expected = [(k + seed) * 2654435761 % 2**32 for k in KEYS]
+    expected = [(k % 2**32 + (k >> 32) * 1540483477 + seed) * 2654435761 % 2**32 for k in KEYS]
     assert column(spark, KEYS, lambda k: fn.key_hash(k, seed), "BIGINT") == expected
     folds = column(spark, KEYS, lambda k: fn.bucket(k, 5, seed, skip=100), "BIGINT")
     assert folds == [h // 100 % 5 for h in expected]

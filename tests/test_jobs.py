@@ -1,3 +1,5 @@
+import pytest
+
 from cartsight.__main__ import main
 from cartsight.schema import KEY
 from cartsight.sources import session_lines, shop_sessions
@@ -13,6 +15,10 @@ def test_prepare_profile_train_compare(spark, tmp_path, capsys):
     main(["prepare", x, y, out], spark)
     assert "|1    |736  |" in capsys.readouterr().out
 
+    sessions.select(KEY, "Revenue").unionByName(sessions.select(KEY, "Revenue").limit(1)).write.option("header", True).csv(f"{y}2")
+    with pytest.raises(ValueError, match="target"):
+        main(["prepare", x, f"{y}2", f"{out}2"], spark)
+
     keyless = str(tmp_path / "keyless")
     sessions.drop(KEY).write.option("header", True).csv(keyless)
     main(["profile", keyless], spark)
@@ -23,7 +29,7 @@ def test_prepare_profile_train_compare(spark, tmp_path, capsys):
     printed = capsys.readouterr().out
     for title in ("Null values", "Rows per part", "Predictions", "Quality of the tree", "Confusion matrix"):
         assert f"\n{title}\n" in printed
-    assert spark.table("sessions_data").count() == 1473
+    assert spark.table("session_records").count() == 1473
 
     sliced = str(tmp_path / "sliced")
     for n in (1, 2):

@@ -1,3 +1,4 @@
+import os
 import random
 
 import pytest
@@ -49,7 +50,8 @@ def test_areas_equal_the_evaluator(spark, case):
     rows = CASES[case]
     expected = by_evaluator(spark, rows)
     assert areas(spark, rows) == pytest.approx(expected, abs=1e-12)
-    assert areas(spark, rows, rank_limit=0, score_ranges=4) == pytest.approx(expected, abs=1e-12)
+    for ranges in (1, 4, 64):
+        assert areas(spark, rows, score_ranges=ranges) == pytest.approx(expected, abs=1e-12)
 
 
 def test_roc_area_by_pairs(spark):
@@ -69,6 +71,27 @@ def test_areas_need_two_classes(spark, label):
     assert areas(spark, [(0.3, label), (0.8, label)]) == (None, None)
 
 
+@pytest.mark.parametrize("ranges", [1, 4, 64])
+def test_rows_that_cannot_be_ranked_are_left_out(spark, ranges):
+    rows = CASES["unrounded"]
+    odd = [(float("nan"), 1), (float("nan"), 0), (None, 1), (None, 0), (0.5, None), (0.9, None)]
+    df = spark.createDataFrame([(s if s is None else float(s), y if y is None else int(y)) for s, y in rows + odd], "score DOUBLE, label INT")
+    df = df.withColumn("prediction", (F.col("score") > 0.5).cast("double"))
+    counts = metrics.tally(df)
+    got = metrics.curve_areas(counts, score_ranges=ranges).first()
+    assert tuple(got) == pytest.approx(by_evaluator(spark, rows), abs=1e-12)
+    known = metrics.tally(df.where("label IS NOT NULL AND score IS NOT NULL"))
+    assert metrics.class_metrics(counts).first() == metrics.class_metrics(known).first()
+
+
+def test_evaluation_leaves_no_folder(spark, tmp_path):
+    base = spark.conf.get("spark.checkpoint.dir")
+    before = set(os.listdir(base))
+    for _ in range(3):
+        metrics.evaluate(metrics.tally(scored(spark, CASES["rounded"])))
+    assert set(os.listdir(base)) == before
+
+
 def test_class_metrics(spark):
     rows = CASES["unrounded"]
     df = scored(spark, rows).withColumn("label", F.col("label").cast("double"))

@@ -27,6 +27,15 @@ def test_unseen_category_has_no_slot(spark):
     assert [(r["Region_b"], r["Region_a"], r["Region_c"]) for r in hot] == [(0, 1, 0), (0, 0, 0)]
 
 
+def test_dirty_labels_are_refused(spark, features):
+    dirty = features.withColumn("VisitorType", F.concat(F.lit("x"), (F.col(KEY) * 7).cast("string"), F.uuid()))
+    many = dirty.unionByName(dirty).unionByName(dirty).unionByName(dirty)
+    with pytest.raises(ValueError, match="VisitorType"):
+        models.fit_tree(many)
+    with pytest.raises(ValueError, match="VisitorType"):
+        encode.string_index(many, many)
+
+
 def test_standardize_uses_the_sample_deviation_of_training_rows(spark, features):
     train, test = split.split_train_test(features)
     column = BATCH_NUMERIC[3]

@@ -12,7 +12,7 @@ def keys_frame(spark, keys, partitions):
 
 
 def hashed(k, seed=0):
-    return (k + seed) * 2654435761 % 2**32
+    return (k % 2**32 + (k >> 32) * 1540483477 + seed) * 2654435761 % 2**32
 
 
 @pytest.mark.parametrize("n", [0, 1, 2, 7, 500])
@@ -26,7 +26,9 @@ def test_halves_are_exact(spark, n):
 
 
 def test_halves_with_equal_hashes(spark):
-    keys = [k + i * 2**32 for k in range(5) for i in range(9)]
+    # The upper half counts as so many times the high multiplier in the lower one.
+    keys = [i * 2**32 + (k - i * 1540483477) % 2**32 for k in range(5) for i in range(9)]
+    assert len({hashed(k, 1) for k in keys}) == 5
     first = set(sorted(keys, key=lambda k: (hashed(k, 1), k))[: len(keys) // 2])
     halves = split.split_exact_halves(keys_frame(spark, keys, 3)).collect()
     assert {r["session_id"] for r in halves if r["slice"] == 1} == first
@@ -57,9 +59,35 @@ def test_cap_and_shuffle(spark):
     assert split.cap_rows(df, 400).count() == 300
 
 
-def test_random_split_covers(spark):
-    parts = split.random_split(keys_frame(spark, range(100), 3), [0.8, 0.2], seed=42)
-    assert sum(p.count() for p in parts) == 100
+@pytest.mark.parametrize("step", [1 << 32, 1 << 20, 1 << 33, 1])
+def test_wide_keys_spread(spark, step):
+    """Keys that differ in their upper bits only, as generated ids do, still fall into even parts."""
+    keys = spark.range(20_000).select((F.col("id") * step).alias("session_id"))
+    shares = split.with_fold(keys).agg(
+        F.avg(split.is_train().cast("int")).alias("train"), *(F.avg((F.col("fold") == i).cast("int")).alias(f"f{i}") for i in range(5))
+    ).first()
+    assert 0.79 <= shares["train"] <= 0.81
+    assert all(0.19 <= shares[f"f{i}"] <= 0.21 for i in range(5))
+
+
+def test_generated_keys_spread(spark):
+    keys = spark.range(0, 40_000, numPartitions=7).select(F.monotonically_increasing_id().alias("session_id"))
+    assert 0.79 <= keys.where(split.is_train()).count() / 40_000 <= 0.81
+
+
+def test_null_keys_land_where_key_0_does(spark):
+    df = spark.createDataFrame([(i if i % 3 else None, str(i)) for i in range(15)], "session_id BIGINT, v STRING")
+    train, test = split.split_train_test(df)
+    assert train.count() + test.count() == 15 and train.where("session_id IS NULL").count() == 5
+    assert {r["fold"] for r in split.with_fold(df).where("session_id IS NULL").collect()} == {0}
+
+
+def test_halves_with_null_and_repeated_keys(spark):
+    one_null = spark.createDataFrame([(None, "n"), *((i, "v") for i in range(1, 11))], "session_id BIGINT, v STRING")
+    assert split.split_exact_halves(one_null).where("slice = 1").count() == 5
+    repeated = spark.createDataFrame([(7, "v")] * 10 + [(8, "v")], "session_id BIGINT, v STRING")
+    with pytest.raises(Exception, match="unique key"):
+        split.split_exact_halves(repeated).collect()
 
 
 def test_join_by_key(spark):

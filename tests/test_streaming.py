@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from cartsight.operators import online
 from cartsight.operators.features import online_features, parse_lines, stream_features
+from cartsight.plans import QUERIES
 from cartsight.schema import KEY, ONLINE_FEATURES
 from cartsight.sources import line_stream, session_lines, shop_sessions
 from cartsight.streaming import (
@@ -69,13 +70,15 @@ def test_tree_batch_guards(spark, tmp_path, texts, n, status):
     if status != "any":
         assert row["status"] == status
     if n == 201:
-        assert row["n_train"] + row["n_test"] == 200
+        assert row["n_train"] + row["n_test"] == 201
         assert 0 <= row["auc_roc"] <= 1 and 0 <= row["f1"] <= 1
 
 
-def test_tree_batch_without_a_cap(spark, tmp_path, texts):
-    row = tree_row(spark, texts[:300], tmp_path, max_rows=None)
-    assert row["n_train"] + row["n_test"] == 300
+def test_tree_batch_with_bounded_training(spark, tmp_path, texts):
+    free = tree_row(spark, texts[:300], tmp_path / "free")
+    bound = tree_row(spark, texts[:300], tmp_path / "bound", max_train_rows=100)
+    assert free["n_train"] + free["n_test"] == 300
+    assert bound["n_train"] == 100 and bound["n_test"] == free["n_test"]
 
 
 def test_tree_batch_counts_clean_rows(spark, tmp_path, texts):
@@ -123,24 +126,22 @@ def by_hand(df, weights, steps=50, step_size=0.1, tolerance=0.001):
 
 
 @pytest.mark.parametrize("steps", [1, 2, 50])
-def test_descent_paths_agree_with_the_library(spark, texts, steps):
+def test_descent_agrees_with_the_library(spark, texts, steps):
     batch = online_features(frame(spark, texts[:200])).persist()
-    one_task = online.descend(batch, 200, steps=steps)
+    ours = online.descend(batch, steps=steps)
     points = batch.select("label", F.array(*ONLINE_FEATURES)).rdd.map(lambda r: LabeledPoint(r[0], r[1]))
     library = LogisticRegressionWithSGD.train(points, steps, 0.1, 1.0, [0.0] * 11, regParam=0.0, convergenceTol=0.001)
-    assert one_task == pytest.approx(list(library.weights), rel=1e-9, abs=1e-12)
-    if steps < 50:
-        spread = online.descend(batch, 200, steps=steps, task_rows=0)
-        assert spread == pytest.approx(one_task, rel=1e-9, abs=1e-12)
+    assert ours == pytest.approx(list(library.weights), rel=1e-9, abs=1e-12)
     batch.unpersist()
 
 
 def test_descent_stops_early(spark, texts):
     batch = online_features(frame(spark, texts[:200]))
     args = dict(step_size=0.001, tolerance=0.5)
-    assert online.descend(batch, 200, **args) == pytest.approx(list(by_hand(batch, [0.0] * 11, **args)), rel=1e-9)
-    two_steps = online.descend(batch, 200, steps=2, step_size=0.001, tolerance=0.0)
-    assert online.descend(batch, 200, task_rows=0, **args) == pytest.approx(two_steps, rel=1e-9)
+    assert online.descend(batch, **args) == pytest.approx(list(by_hand(batch, [0.0] * 11, **args)), rel=1e-9)
+    two_steps = online.descend(batch, steps=2, step_size=0.001, tolerance=0.0)
+    assert online.descend(batch, **args) == pytest.approx(two_steps, rel=1e-9)
+    assert online.descend(batch.where("false"), two_steps) == two_steps
 
 
 def run_online(spark, folder, **options):
@@ -186,6 +187,38 @@ def test_online_batch_modes_replay_and_empty(spark, tmp_path, texts):
         online_batch(first, 2, weights, table, mode="other")
 
 
+def test_timed_trigger_and_timeout(spark, folder):
+    """A stream on a clock runs on until it is stopped; waiting ends after the time given."""
+    table = str(folder / "tree")
+    query = tree_stream(lines_of(spark, folder), table, str(folder / "state"), every="1 second")
+    try:
+        assert not run(query, 1)
+        for _ in range(60):
+            if query.lastProgress and query.lastProgress["batchId"] >= 3 and not query.status["isTriggerActive"]:
+                break
+            run(query, 1)
+        assert query.isActive
+    finally:
+        query.stop()
+    assert run(query, 5)
+    assert read_batches(spark, table, tree_module.METRICS).count() == 4
+
+
+def test_old_weights_are_refused(spark, tmp_path, texts):
+    weights, table = str(tmp_path / "weights"), str(tmp_path / "online")
+    rows = online_features(frame(spark, texts[:40]))
+    for batch in (0, 1):
+        online_batch(rows, batch, weights, table, steps=1)
+    with pytest.raises(ValueError, match="earlier run"):
+        online_batch(rows, 0, weights, table, steps=1)
+
+
+def test_arrivals_are_repeatable(spark):
+    """One arrival is one micro-batch, so two runs give the same tables."""
+    first, second = (sorted(map(repr, QUERIES["stream_tree_metrics_all_rows"](spark, "/root/testdata/sf0.001").collect())) for _ in range(2))
+    assert first == second and len(first) == 4
+
+
 def test_keys_follow_the_text(spark):
     rows = keyed(spark.createDataFrame([("a",), ("b",), ("a",)], "value STRING")).collect()
     assert rows[0][KEY] == rows[2][KEY] != rows[1][KEY]
