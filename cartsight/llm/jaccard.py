@@ -31,7 +31,7 @@ LOCAL = 2
 FREQUENT = 2.0**-22
 LEAST_FREQUENT = 8
 #: Buckets up to this size are compared in full at once; larger ones by so many times more members in each round.
-SMALL = 8
+SMALL = 32
 #: Words of the short sketch that travels with a bucket's rows.
 BRIEF = 4
 #: Keys of texts that are broadcast, at most (about 64 MB); beyond, the join is left to the engine.
