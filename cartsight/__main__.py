@@ -3,10 +3,13 @@
 import argparse
 from collections.abc import Sequence
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from cartsight.plans import jobs
 
+SAMPLE_WIDTH = 60
+
 
 def parser() -> argparse.ArgumentParser:
     top = argparse.ArgumentParser(prog="cartsight", description=__doc__)
@@ -38,6 +41,13 @@ def parser() -> argparse.ArgumentParser:
     return top
 
 
+def shown(table: DataFrame) -> DataFrame:
+    """``table`` with sample values cut to the width of a screen."""
+    if "sample_values" not in table.columns:
+        return table
+    return table.withColumn("sample_values", F.left("sample_values", F.lit(SAMPLE_WIDTH)))
+
+
 def main(arguments: Sequence[str] | None = None, spark: SparkSession | None = None) -> None:
     given = parser().parse_args(arguments)
     spark = spark or SparkSession.builder.appName(f"cartsight-{given.command}").getOrCreate()
@@ -45,7 +55,7 @@ def main(arguments: Sequence[str] | None = None, spark: SparkSession | None = No
     options = {k: v for k, v in vars(given).items() if k != "command"}
     for title, table in job(spark, **options):
         print(f"\n{title}")
-        table.show(20, truncate=60)
+        shown(table).show(20, truncate=False)
 
 
 if __name__ == "__main__":
