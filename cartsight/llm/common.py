@@ -4,11 +4,14 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cartsight.storage import shared_path
 
 #: A word is a run of anything but these; the same six characters in Java, DuckDB and ``bytes.split``.
 WORD = r"[^\x20\x09-\x0D]+"
+#: Equal rows from which they are joined in blocks of about so many.
+HOT_KEY = 10_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -65,16 +68,35 @@ def fixed(column: str) -> Column:
     return F.lpad(F.hex(column), 16, "0")
 
 
-def handed_out(docs: DataFrame, own: dict[str, Column], manifest: DataFrame) -> DataFrame:
-    """``row``, a row of ``docs``, and ``given`` of the row of ``manifest`` that has the same keys.
+def row_key(docs: DataFrame) -> Column:
+    """Identifies a row of ``docs`` by all its columns: two hashes with different seeds, as 32 characters; equal rows have equal keys."""
+    parts = []
+    for field in docs.schema.fields:
+        column = F.col(f"`{field.name}`")
+        if isinstance(field.dataType, T.FractionalType):
+            column = column.cast("string")
+        elif not isinstance(field.dataType, (T.AtomicType, T.NullType)):
+            column = F.to_json(F.struct(column), {"ignoreNullFields": "false", "timestampFormat": "yyyy-MM-dd HH:mm:ss.SSSSSSXXX"})
+        parts += [column.isNull(), column]
+    return F.concat(*(F.lpad(F.hex(F.xxhash64(F.lit(seed), *parts)), 16, "0") for seed in ("a", "b")))
 
-    ``own`` computes the keys from ``docs``; both sides have as many rows of a
-    key.  Rows with equal keys are repeats of a document and take theirs in turn.
+
+def handed_out(docs: DataFrame, manifest: DataFrame) -> DataFrame:
+    """``row``, a row of ``docs``, and ``given`` of each row of ``manifest``.
+
+    ``manifest`` has a row for every row of ``docs``, with its :func:`row_key` as
+    ``key``.  Equal rows differ in nothing but what they are given, so one of them
+    stands for all, and each row of the manifest meets one row.  The manifest rows
+    of a key that occurs very often are dealt over blocks, its row to all of them.
     """
-    keys = list(own)
-    queue = manifest.groupBy(*keys).agg(F.array_sort(F.collect_list("given")).alias("queue"))
-    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), *(c.alias(k) for k, c in own.items()))
-    numbered = rows.withColumn("turn", F.expr(f"row_number() OVER (PARTITION BY {', '.join(keys)} ORDER BY 1)"))
-    left, right = numbered.alias("l"), queue.alias("r")
-    joined = left.join(right, [F.col(f"l.{k}").eqNullSafe(F.col(f"r.{k}")) for k in keys])
-    return joined.select("row", F.get("queue", F.col("turn") - 1).alias("given"))
+    manifest = stored(manifest, "manifest")
+    rows = docs.select(row_key(docs).alias("key"), F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"))
+    rows = rows.groupBy("key").agg(F.first("row").alias("row"))
+    blocks = (F.count(F.lit(1)) / HOT_KEY).cast("bigint")
+    hot = stored(manifest.groupBy("key").agg(blocks.alias("blocks")).where("blocks > 0"), "hot-keys")
+    if hot.isEmpty():
+        return rows.join(manifest, "key").select("row", "given")
+    blocks = F.coalesce("blocks", F.lit(0))
+    rows = rows.join(hot, "key", "left").withColumn("block", F.explode(F.sequence(F.lit(0).cast("bigint"), blocks)))
+    manifest = manifest.withColumn("at", F.monotonically_increasing_id()).join(hot, "key", "left").withColumn("block", F.col("at") % (blocks + 1))
+    return rows.drop("blocks").join(manifest.drop("blocks"), ["key", "block"]).select("row", "given")

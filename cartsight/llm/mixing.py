@@ -8,7 +8,7 @@ boundary that its share crosses.
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cartsight.llm.common import WORD, fixed, handed_out, stored
+from cartsight.llm.common import WORD, fixed, handed_out, row_key, stored
 from cartsight.llm.ranges import positions
 
 WEIGHTS = (5, 2, 1)
@@ -55,7 +55,7 @@ def source_targets(sizes: DataFrame) -> DataFrame:
     return ranked.select("source", "source_size", "documents", "source_rank", F.least(stop, F.lit(factor) * F.col("share")).alias("target"))
 
 
-def copies(docs: DataFrame, seed: str = "mix") -> DataFrame:
+def copies(docs: DataFrame, seed: str = "mix", key: bool = False) -> DataFrame:
     """``doc_id, source, size, source_size, target, copies`` for every row of ``docs``.
 
     ``size`` counts words (null text: 0).  Expected copies are target over
@@ -63,19 +63,21 @@ def copies(docs: DataFrame, seed: str = "mix") -> DataFrame:
     sizes, so that the words taken stay within about one document of the target.
     Rows without words take part and give no words; a source without words has
     target 0 and no copies.  Ties are ordered by a hash of the id; repeated rows
-    are counted one by one.  The offset is a hash of ``seed`` and the source's
+    are counted one by one.  With ``key`` there is a column ``key``, the row key,
+    which orders what is still tied.  The offset is a hash of ``seed`` and the source's
     number: reruns agree.  No rows give no rows.
     """
-    rows = stored(docs.select("doc_id", "source", words(F.col("text")).alias("size")), "words")
+    own = [row_key(docs).alias("row_key")] if key else []
+    rows = stored(docs.select("doc_id", "source", words(F.col("text")).alias("size"), *own), "words")
     sources = stored(source_targets(rows), "targets")
     rows = rows.alias("d").join(sources.alias("s"), F.col("d.source").eqNullSafe(F.col("s.source"))).select(
-        "doc_id", "d.source", "size", "source_rank", "source_size", "target"
+        "doc_id", "d.source", "size", "source_rank", "source_size", "target", *(["row_key"] if key else [])
     )
     name = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
-    key = F.concat(fixed("source_rank"), fixed("size"), F.md5(name), name)
+    order = F.concat(fixed("source_rank"), fixed("size"), F.md5(name), name, *(["row_key"] if key else []))
     one = F.lit(1).cast("bigint")
     n = sources.agg(F.sum("documents").alias("n")).first()["n"] or 0
-    placed = positions(rows.withColumns({"key": key, "weight": one}), max(RANGES, n // ROWS_PER_RANGE))
+    placed = positions(rows.withColumns({"key": order, "weight": one}), max(RANGES, n // ROWS_PER_RANGE))
     starts = positions(sources.select(fixed("source_rank").alias("key"), F.col("documents").alias("weight"), "source_rank"), RANGES)
     rate = F.when(
         F.col("source_size") > 0, F.least(F.lit(MOST * UNITS), F.round(F.col("target") / F.col("source_size") * UNITS).cast("bigint"))
@@ -85,7 +87,8 @@ def copies(docs: DataFrame, seed: str = "mix") -> DataFrame:
         "rate": rate, "low": offset + (F.col("rank") - F.col("start")) * rate,
     })
     return steps.select(
-        "doc_id", "source", "size", "source_size", "target", F.expr(f"(low + rate) div {UNITS} - low div {UNITS}").alias("copies")
+        "doc_id", "source", "size", "source_size", "target", F.expr(f"(low + rate) div {UNITS} - low div {UNITS}").alias("copies"),
+        *([F.col("row_key").alias("key")] if key else []),
     )
 
 
@@ -98,9 +101,6 @@ def mix(docs: DataFrame, seed: str = "mix") -> DataFrame:
 
 def mix_documents(docs: DataFrame, seed: str = "mix") -> DataFrame:
     """The mix itself: every row of ``docs`` as often as :func:`copies` says, its columns as they are."""
-    own = {"id": docs["doc_id"], "origin": docs["source"], "words": words(docs["text"])}
-    manifest = copies(docs, seed).select(
-        F.col("doc_id").alias("id"), F.col("source").alias("origin"), F.col("size").alias("words"), F.struct("copies").alias("given")
-    )
+    manifest = copies(docs, seed, key=True).where("copies > 0").select("key", F.struct("copies").alias("given"))
     repeated = F.explode(F.array_repeat(F.lit(0), F.col("given.copies").cast("int"))).alias("copy")
-    return handed_out(docs, own, manifest).select("row", repeated).select("row.*")
+    return handed_out(docs, manifest).select("row", repeated).select("row.*")

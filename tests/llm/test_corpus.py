@@ -7,9 +7,10 @@ from collections import Counter, defaultdict
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
-from cartsight.llm import jaccard, mixing, ranges, semantic, sharding
+from cartsight.llm import common, jaccard, mixing, ranges, semantic, sharding
 from cartsight.llm.common import stored
 from cartsight.llm.components import components
 from cartsight.llm.vectors import Texts
@@ -230,6 +231,34 @@ def test_mixed_documents(edge):
     assert Counter(r["doc_id"] for r in out.collect()) == +want
 
 
+def test_rows_without_ids(spark, monkeypatch):
+    """Null ids of one source and word count: entries by the row, copies that stay with their texts; equal rows in blocks."""
+    monkeypatch.setattr(common, "HOT_KEY", 50)
+    rows = [(None, f"one two{i}", "en", "web", 0) for i in range(300)] + [(None, "same text", "en", "web", 0)] * 200 + [(7, None, None, None, None), (8, "x y", None, "other", 1)]
+    names = "doc_id bigint, text string, lang string, source string, n_chars bigint"
+    docs = spark.createDataFrame(rows, names)
+    out = mixing.mix_documents(docs)
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "collect_list" not in plan and "row_number" not in plan
+    first = Counter(map(tuple, out.collect()))
+    want = sum(r["copies"] for r in mixing.copies(docs).collect())
+    assert first.total() == want and set(first) <= set(rows)
+    assert Counter(map(tuple, mixing.mix_documents(docs.repartition(7).orderBy(F.desc("text"))).collect())) == first
+    shards = sharding.shard_documents(docs, 4).collect()
+    assert Counter(tuple(r[c] for c in docs.columns) for r in shards) == Counter(rows)
+    assert len({(r["shard"], r["slot"]) for r in shards}) == len(rows)
+    assert all(r["text_crc32"] == zlib.crc32((r["text"] or "").encode()) for r in shards)
+
+
+def test_row_keys(spark):
+    """Rows that differ only in where a null stands, in a sign of zero, or inside a map have keys of their own."""
+    docs = spark.sql(
+        "SELECT * FROM VALUES ('a', null, 0.0D, map('k', array(1, null))), (null, 'a', 0.0D, map('k', array(1, null))), ('a', null, -0.0D, map('k', array(1, null))),"
+        " ('a', null, 0.0D, map('k', array(null, 1))), ('a', null, 0.0D, map('k', array(1, null))) AS t(x, y, z, m)"
+    )
+    assert len({r[0] for r in docs.select(common.row_key(docs)).collect()}) == 4
+
+
 def plain_subsequence(a, b):
     row = [0] * (len(b) + 1)
     for x in a:
