@@ -312,6 +312,36 @@ def test_leaks_edges(edge, empty, spark):
     assert semantic.decontaminated(edge, items).columns == edge.columns
 
 
+def test_space_from_all_passages(spark, monkeypatch):
+    """The products read every passage, those of one word as well; the space is that of the dense matrix of all passages."""
+    draw = np.random.default_rng(3)
+    texts = ["solo"] * 50 + [" ".join(f"w{x}" for x in draw.zipf(1.5, 90) % 500) for _ in range(40)] + [None, ""]
+    docs = spark.createDataFrame([(t,) for t in texts], "text string").repartition(3)
+    monkeypatch.setattr(semantic, "GATHER", 100)
+    rows = []
+    for t in texts:
+        words = Texts(pa.array([t], pa.string()), lower=True)
+        columns = (words.hash >> np.uint64(20)).astype(np.int64) & (semantic.COLUMNS - 1)
+        rows += [np.bincount(columns[at : at + semantic.PASSAGE], minlength=semantic.COLUMNS) for at in range(0, len(columns), semantic.PASSAGE)]
+    counts = np.array(rows, float)
+    assert len(rows) == 130
+    idf = draw.uniform(1, 5, semantic.COLUMNS)
+    tfidf = counts * idf
+    tfidf /= np.linalg.norm(tfidf, axis=1, keepdims=True)
+    basis = draw.standard_normal((semantic.COLUMNS, 7))
+    np.testing.assert_allclose(semantic._product(docs, idf, basis), tfidf.T @ (tfidf @ basis), rtol=1e-4, atol=1e-3)
+    space = semantic.fit(docs, docs.limit(0))
+    held = (counts > 0).sum(axis=0)
+    idf = np.where(held, np.log((1 + len(rows)) / (1 + held)) + 1e-3, np.log(1 + len(rows)))
+    np.testing.assert_allclose(space.weights, idf, rtol=1e-5)
+    tfidf = counts * idf
+    tfidf /= np.linalg.norm(tfidf, axis=1, keepdims=True)
+    strength, axes = np.linalg.svd(tfidf, full_matrices=False)[1:]
+    want, got = (idf[:, None] * axes[:3].T / strength[:3]), space.vectors[:, :3]
+    cosines = np.abs((want * got).sum(axis=0)) / np.linalg.norm(want, axis=0) / np.linalg.norm(got, axis=0)
+    assert (cosines > 0.999).all() and np.allclose(np.linalg.norm(want, axis=0), np.linalg.norm(got, axis=0), rtol=1e-2)
+
+
 def test_answers():
     assert semantic.answer_of("What is it? A cat.").strip() == "A cat."
     assert semantic.answer_of("One. Two three.") == "Two three"
