@@ -342,6 +342,31 @@ def test_space_from_all_passages(spark, monkeypatch):
     assert (cosines > 0.999).all() and np.allclose(np.linalg.norm(want, axis=0), np.linalg.norm(got, axis=0), rtol=1e-2)
 
 
+def test_leaks_as_a_scan(spark, sample):
+    """Every leak that a plain scan of all windows by common subsequence and answer finds, at 100 to 50 % of the words and any offset."""
+    items = [r for r in spark.read.parquet("/root/testdata/sf0.001/benchmark.parquet").orderBy("item_id").limit(12).collect()]
+    draw = np.random.default_rng(8)
+    texts = [r["text"] for r in sample.orderBy("doc_id").limit(12).collect()]
+    for n, r in enumerate(items):
+        for kept in (1.0, 0.75, 0.6, 0.5):
+            words = [w if draw.random() < kept else f"new{draw.integers(10**6)}" for w in r["text"].split()]
+            texts.append(" ".join([*[f"pad{i}" for i in range(draw.integers(0, 30))], *words, *texts[n].split()[:40]]))
+    space = semantic.Space(np.ones(semantic.COLUMNS, np.float32), draw.standard_normal((semantic.COLUMNS, 8)).astype(np.float32))
+    queries = semantic.prepare([(r["item_id"], r["text"]) for r in items], space)
+    words = Texts(pa.array(texts, pa.string()), lower=True)
+    found = set(semantic.leaked_items(words, space, queries, semantic.members(queries), semantic.COSINE))
+    want, half = set(), semantic.BLOCK // 2
+    for text in range(len(texts)):
+        own = words.hash[words.first[text] : words.first[text + 1]].tolist()
+        for size, index in queries.by_size.items():
+            for query in index:
+                for at in range(0, len(own), semantic.BLOCK):
+                    window = own[max(0, at - half) : at + size * semantic.BLOCK + half]
+                    if semantic.verdict(queries.words[query], queries.answers[query], window)[1]:
+                        want.add((text, query))
+    assert found == want and len(want) >= 20
+
+
 def test_answers():
     assert semantic.answer_of("What is it? A cat.").strip() == "A cat."
     assert semantic.answer_of("One. Two three.") == "Two three"
