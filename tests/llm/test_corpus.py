@@ -367,6 +367,20 @@ def test_leaks_as_a_scan(spark, sample):
     assert found == want and len(want) >= 20
 
 
+def test_long_items(spark):
+    """The last words of a long item are searched, and its answer beside the passage counts."""
+    item = [f"i{n}" for n in range(157)] + ["Answer:", "yes", "indeed"]
+    tail = " ".join(["pad"] * 20 + item[128:])
+    half = " ".join(w if n % 5 < 3 or n > 156 else f"other{n}" for n, w in enumerate(item))
+    docs = spark.createDataFrame([(1, tail), (2, half), (3, " ".join(half.split()[:96]))], "doc_id bigint, text string")
+    items = spark.createDataFrame([(1, " ".join(item))], "item_id bigint, text string")
+    queries = semantic.prepare([(1, " ".join(item))], semantic.Space(np.ones(semantic.COLUMNS), np.ones((semantic.COLUMNS, 2))))
+    assert queries.words[-1] == Texts(pa.array([" ".join(item)], pa.string()), lower=True).hash[-semantic.PASSAGE :].tolist()
+    assert {r["doc_id"] for r in semantic.leaks(docs, items).collect()} == {1, 2}
+    best = semantic.leaked_items(Texts(pa.array([half], pa.string()), lower=True), semantic.Space(np.ones(semantic.COLUMNS), np.ones((semantic.COLUMNS, 2))), queries, semantic.members(queries), semantic.COSINE)
+    assert {queries.around[q] for _, q in best} == {(0, 96), (64, 32), (96, 0)}
+
+
 def test_answers():
     assert semantic.answer_of("What is it? A cat.").strip() == "A cat."
     assert semantic.answer_of("One. Two three.") == "Two three"
