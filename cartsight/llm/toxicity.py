@@ -256,7 +256,8 @@ def sampled(docs: DataFrame, labels: DataFrame, sample: int = LABELLED) -> tuple
     counts = {r["toxic"]: r["count"] for r in known.groupBy("toxic").count().collect()}
     chance = F.when(F.col("toxic") == 1, min(1.0, sample / max(counts.get(1, 0), 1))).otherwise(min(1.0, sample / max(counts.get(0, 0), 1)))
     drawn = known.where(F.pmod(F.xxhash64(F.lit("toxic"), "doc_id"), F.lit(1 << 20)) < chance * (1 << 20))
-    rows = docs.select("doc_id", "text").join(drawn, "doc_id").groupBy("doc_id", "toxic").agg(F.min("text").alias("text"))
+    # One row per drawn id and about ``sample`` ids of each label: small enough to send, so that no text is shuffled but the drawn ones.
+    rows = docs.select("doc_id", "text").join(F.broadcast(drawn), "doc_id").groupBy("doc_id", "toxic").agg(F.min("text").alias("text"))
     return stored(rows, "toxicity-sample"), counts
 
 
