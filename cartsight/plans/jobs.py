@@ -8,7 +8,7 @@ from pyspark.sql.types import StructType
 
 from cartsight.functions import content_key
 from cartsight.operators import features, metrics, models, quality, split
-from cartsight.schema import KEY, KEYED_SCHEMA, LABEL, SESSION_SCHEMA
+from cartsight.schema import KEY, KEYED_SCHEMA, LABEL
 from cartsight.sources import line_stream, read_sessions, read_texts, with_key, write_slices
 from cartsight.storage import kept
 from cartsight.streaming import online as online_jobs
@@ -41,7 +41,7 @@ def profile(spark: SparkSession, paths: Sequence[str]) -> Report:
 
 
 def train(spark: SparkSession, paths: Sequence[str], tune: bool = False) -> Report:
-    sessions = with_key(read_sessions(spark, paths, SESSION_SCHEMA, view="session_records"))
+    sessions = with_key(read_sessions(spark, paths, KEYED_SCHEMA, view="session_records", optional=[KEY]))
     derived = features.batch_features(sessions)
     yield "Null values", quality.null_columns(derived)
     yield "Rows with null values", quality.rows_with_nulls(derived)
@@ -69,7 +69,7 @@ def train(spark: SparkSession, paths: Sequence[str], tune: bool = False) -> Repo
 def compare(spark: SparkSession, path: str) -> Report:
     """Trees trained on slice 1, on slice 2 and on both, from the slice folders under ``path``."""
     sliced = (
-        with_key(read_sessions(spark, f"{path}/slice={n}", SESSION_SCHEMA)).withColumn("slice", F.lit(n))
+        with_key(read_sessions(spark, f"{path}/slice={n}", KEYED_SCHEMA, optional=[KEY])).withColumn("slice", F.lit(n))
         for n in (1, 2)
     )
     yield "Quality by slice", models.compare_slices(features.model_features(next(sliced).unionByName(next(sliced))))

@@ -84,6 +84,16 @@ def scan_csv_sessions(spark, folder):
     return read_sessions(spark, path, KEYED_SCHEMA)
 
 
+@query
+def scan_csv_by_header(spark, folder):
+    """The same records from files that hold their columns in different orders."""
+    path, sessions = shared_path(spark, "sessions"), shop_sessions(spark, folder)
+    orders = (sessions.columns, sorted(sessions.columns), sessions.columns[::-1])
+    for i, order in enumerate(orders):
+        sessions.where(F.pmod(KEY, F.lit(len(orders))) == i).select(*order).write.mode("append").option("header", True).csv(path)
+    return read_sessions(spark, path, KEYED_SCHEMA)
+
+
 def _written_slices(spark: SparkSession, folder: str) -> str:
     path = shared_path(spark, "slices")
     write_slices(split.split_exact_halves(shop_sessions(spark, folder)), path)

@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 from cartsight.functions import content_key
 from cartsight.schema import KEY, SESSION_SCHEMA
+from cartsight.sources.headers import read_csv_by_name
 from cartsight.sources.records import text_of
 
 SLICE = "slice"
@@ -19,18 +20,23 @@ def read_sessions(
     schema: T.StructType | None = SESSION_SCHEMA,
     fmt: str = "csv",
     view: str | None = None,
+    optional: Iterable[str] = (),
 ) -> DataFrame:
     """Read one or many paths (globs allowed) as one table.
 
-    The schema is given, so nothing is read before the query runs; pass
-    ``schema=None`` to have a CSV file's types inferred by an extra scan.
+    The columns of CSV files are found by the names in each file's header; those
+    in ``optional`` may be missing.  With a schema nothing but the headers is
+    read before the query runs; pass ``schema=None`` to have a CSV file's types
+    inferred by an extra scan.
     """
-    reader = spark.read
-    if fmt == "csv":
-        reader = reader.option("header", True).option("inferSchema", schema is None)
-    if schema is not None:
-        reader = reader.schema(schema)
-    sessions = reader.format(fmt).load([paths] if isinstance(paths, str) else list(paths))
+    paths = [paths] if isinstance(paths, str) else list(paths)
+    if fmt == "csv" and schema is not None:
+        sessions = read_csv_by_name(spark, paths, schema, optional)
+    else:
+        reader = spark.read if schema is None else spark.read.schema(schema)
+        if fmt == "csv":
+            reader = reader.option("header", True).option("inferSchema", True)
+        sessions = reader.format(fmt).load(paths)
     return register(sessions, view) if view else sessions
 
 

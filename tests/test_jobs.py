@@ -1,6 +1,9 @@
 import pytest
 
 from cartsight.__main__ import main
+from cartsight.operators.features import model_features
+from cartsight.operators.metrics import class_distribution
+from cartsight.operators.split import split_train_test
 from cartsight.schema import KEY
 from cartsight.sources import session_lines, shop_sessions
 
@@ -15,6 +18,18 @@ def test_prepare_profile_train_compare(spark, tmp_path, capsys):
     main(["prepare", x, y, out], spark)
     assert "|1    |736  |" in capsys.readouterr().out
 
+    # The slices hold the key first: columns are found by name, and the classes are those of the records.
+    main(["profile", f"{out}/slice=1"], spark)
+    assert "VisitorType" in capsys.readouterr().out
+    main(["train", f"{out}/slice=1", f"{out}/slice=2"], spark)
+    printed = capsys.readouterr().out
+    records = spark.table("session_records")
+    assert sorted(map(tuple, records.select(sessions.columns).collect())) == sorted(map(tuple, sessions.collect()))
+    classes = class_distribution(split_train_test(model_features(sessions))[0])
+    assert all(f"|{r['Revenue']}      |{r['count']}" in printed.split("Classes in the training part")[1].split("Predictions")[0] for r in classes.collect())
+    main(["compare", out], spark)
+    assert "pooled" in capsys.readouterr().out
+
     sessions.select(KEY, "Revenue").unionByName(sessions.select(KEY, "Revenue").limit(1)).write.option("header", True).csv(f"{y}2")
     with pytest.raises(ValueError, match="target"):
         main(["prepare", x, f"{y}2", f"{out}2"], spark)
