@@ -52,13 +52,10 @@ def encoder(columns: Sequence[str] = CATEGORICAL) -> OneHotEncoder:
 def encoding_stages(
     numeric: Sequence[str], categorical: Sequence[str] = CATEGORICAL, scale: bool = True
 ) -> list:
-    """Index, encode, assemble, optionally standardize, and assemble into ``features``."""
-    stages = [
-        indexer(categorical),
-        encoder(categorical),
-        VectorAssembler(inputCols=list(numeric), outputCol="numeric_features"),
-    ]
+    """Index, encode, assemble, optionally standardize, and assemble into ``features``; without categories only the numbers."""
     numbers = "numeric_features"
+    stages = [indexer(categorical), encoder(categorical)] if categorical else []
+    stages.append(VectorAssembler(inputCols=list(numeric), outputCol=numbers))
     if scale:
         numbers = "scaled_numeric_features"
         stages.append(

@@ -11,7 +11,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cartsight.operators.encode import batch_encoding, check_labels, encoding_stages, labelled, stream_encoding
+from cartsight.operators.encode import check_labels, encoding_stages, labelled, stream_encoding
 from cartsight.operators.metrics import evaluate, tally
 from cartsight.operators.split import split_train_test, with_fold
 from cartsight.schema import BATCH_NUMERIC, CATEGORICAL, KEY, LABEL, STREAM_NUMERIC
@@ -98,13 +98,13 @@ def grid_points(grid: dict[str, Sequence[int]] = GRID) -> list[dict[str, int]]:
     return [dict(zip(grid, values)) for values in product(*grid.values())]
 
 
-def _fold_accuracies(folded: DataFrame, fold: int, points: list[dict[str, int]], pool: ThreadPool) -> list[float]:
+def _fold_accuracies(folded: DataFrame, fold: int, points: list[dict[str, int]], pool: ThreadPool, encoding: Pipeline) -> list[float]:
     """Accuracy on one fold of a tree per grid point, grown on the other folds.
 
     The encoders are fitted once for all points, and one pass scores every tree.
     """
     seen, held = folded.where(F.col("fold") != fold), folded.where(F.col("fold") == fold)
-    encoding = batch_encoding().fit(seen)
+    encoding = encoding.fit(seen)
     encoded, scored = (encoding.transform(part).select(LABEL, "features") for part in (seen, held))
     with kept(encoded):
         trees = pool.map(lambda point: tree(**point).fit(encoded), points, chunksize=1)
@@ -117,6 +117,7 @@ def _fold_accuracies(folded: DataFrame, fold: int, points: list[dict[str, int]],
 def cross_validate(
     train: DataFrame, grid: dict[str, Sequence[int]] = GRID, folds: int = FOLDS,
     parallelism: int = PARALLELISM, folds_at_once: int = FOLDS_AT_ONCE, key: str = KEY,
+    numeric: Sequence[str] = BATCH_NUMERIC, categorical: Sequence[str] = CATEGORICAL,
 ) -> list[tuple[dict[str, int], float]]:
     """Mean accuracy over the folds for each grid point.
 
@@ -125,11 +126,13 @@ def cross_validate(
     are held besides the features.
     """
     points = grid_points(grid)
-    folded = learned(with_fold(train, folds, key), BATCH_NUMERIC, "fold")
+    encoding = Pipeline(stages=encoding_stages(numeric, categorical, scale=True))
+    folded = labelled(with_fold(train, folds, key)).select(LABEL, "fold", *numeric, *categorical)
     with kept(folded), ThreadPool(parallelism) as growing, ThreadPool(folds_at_once) as under_way:
-        check_labels(folded)
+        if categorical:
+            check_labels(folded, categorical)
         by_fold = under_way.map(
-            lambda fold: _fold_accuracies(folded, fold, points, growing), range(folds), chunksize=1
+            lambda fold: _fold_accuracies(folded, fold, points, growing, encoding), range(folds), chunksize=1
         )
     return [(point, sum(scores) / folds) for point, scores in zip(points, zip(*by_fold))]
 

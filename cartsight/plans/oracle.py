@@ -1,6 +1,9 @@
 """The same results in plain SQL, for a second engine to check the registered queries."""
 
-from cartsight.plans.queries import SCORE_WEIGHTS
+from itertools import product
+
+from cartsight.operators.nodes import BANDS, FEW_VALUED
+from cartsight.plans.queries import SCORE_WEIGHTS, SIDE, STUMP_GRID
 from cartsight.schema import (
     BATCH_COLUMNS, BATCH_NUMERIC, CATEGORICAL, KEY, LABEL, MONTHS, ONLINE_FEATURES, PAGE_GROUPS,
     RATIOS, SESSION_FIELDS,
@@ -397,6 +400,83 @@ SELECT round(sum(neg * (pos_upto - pos / 2)) / any_value(p * n), 6) AS auc_roc,
   round(sum(pos * (pos_upto / all_upto + coalesce((pos_upto - pos) / nullif(all_upto - pos - neg, 0), pos_upto / all_upto)) / 2) / any_value(p), 6) AS auc_pr
 FROM curve"""
 
+# Trees: every split of a number with few values is listed
+
+_FEW = {
+    **{name: f'floor(round(CAST("{c}" AS DOUBLE) / {width!r}::DOUBLE, 9))' for name, (c, width) in BANDS.items()},
+    **{c: f'"{c}"' for c in FEW_VALUED if c not in BANDS},
+}
+_LONG = f"""few AS (SELECT session_id, "{LABEL}" AS label, {_TRAIN} AS is_train, {_FOLD} AS fold, unnest([
+  {_list(f"{{'slot': {i}, 'feature': '{name}', 'value': CAST({value} AS DOUBLE)}}" for i, (name, value) in enumerate(_FEW.items()))}]) AS x FROM model),
+long AS (SELECT session_id, label, is_train, fold, x.slot AS slot, x.feature AS feature, x.value AS value FROM few)"""
+
+
+def _gini(n: str, pos: str) -> str:
+    return f"(1 - (({pos}) / ({n})::DOUBLE) ** 2 - (1 - ({pos}) / ({n})::DOUBLE) ** 2)"
+
+
+_GAIN = f"{_gini('tn', 'tp')} - ln / tn::DOUBLE * {_gini('ln', 'lp')} - (tn - ln) / tn::DOUBLE * {_gini('tn - ln', 'tp - lp')}"
+
+
+def _splits(name: str, counts: str, by: str) -> str:
+    """Every split of every node or fold (``by``): rows and positive rows on the left and in all, and the gain."""
+    return f"""{name}_sides AS (
+  SELECT {by}, slot, feature, (value + lead(value) OVER w) / 2 AS threshold, sum(n) OVER w AS ln, sum(pos) OVER w AS lp,
+    sum(n) OVER p AS tn, sum(pos) OVER p AS tp
+  FROM {counts} WHERE n > 0 WINDOW w AS (PARTITION BY {by}, slot ORDER BY value), p AS (PARTITION BY {by}, slot)),
+{name} AS (SELECT *, {_GAIN} AS gain FROM {name}_sides WHERE threshold IS NOT NULL AND ln < tn)"""
+
+
+def _best(name: str, splits: str) -> str:
+    return f"""{name} AS (SELECT * FROM {splits} WHERE ln >= {SIDE} AND tn - ln >= {SIDE} AND round(gain, 12) > 0
+  QUALIFY row_number() OVER (PARTITION BY path ORDER BY round(gain, 12) DESC, slot, threshold) = 1)"""
+
+
+_GROWN = (
+    _LONG,
+    "counts0 AS (SELECT '' AS path, slot, feature, value, count(*) AS n, sum(label) AS pos FROM long WHERE is_train GROUP BY ALL)",
+    _splits("splits0", "counts0", "path"), _best("best0", "splits0"),
+    "sides AS (SELECT session_id, CASE WHEN value <= threshold THEN 'L' ELSE 'R' END AS path FROM long JOIN best0 USING (slot))",
+    """counts1 AS (SELECT sides.path, slot, feature, value, count(*) AS n, sum(label) AS pos
+  FROM long JOIN sides USING (session_id) WHERE is_train GROUP BY ALL)""",
+    _splits("splits1", "counts1", "path"), _best("best1", "splits1"),
+    # Leaves of one node that predict the same class are one leaf.
+    "kept1 AS (SELECT * FROM best1 WHERE (2 * lp > ln) <> (2 * (tp - lp) > tn - ln))",
+    "kept0 AS (SELECT * FROM best0 WHERE (2 * lp > ln) <> (2 * (tp - lp) > tn - ln) OR EXISTS (FROM kept1))",
+)
+_TOTALS = "SELECT '' AS path, sum(n) AS n, sum(pos) AS pos FROM counts0 WHERE slot = 0"
+_CHILDREN = """SELECT path || 'L' AS path, ln AS n, lp AS pos FROM {0} UNION ALL SELECT path || 'R', tn - ln, tp - lp FROM {0}"""
+ORACLES["tree_nodes"] = _with(*_M, *_GROWN) + f"""SELECT path, feature, round(threshold, 6) AS threshold, round(gain, 6) AS gain,
+  CAST(a.n AS BIGINT) AS n, CAST(a.pos AS BIGINT) AS n_positive, CAST(2 * a.pos > a.n AS INTEGER)::DOUBLE AS prediction
+FROM ({_TOTALS} UNION ALL {_CHILDREN.format('kept0')} UNION ALL {_CHILDREN.format('(FROM kept1 WHERE EXISTS (FROM kept0))')}) a
+LEFT JOIN (FROM kept0 UNION ALL FROM kept1) USING (path)"""
+ORACLES["tree_stump"] = _with(*_M, *_GROWN[:4]) + f"""SELECT session_id, label AS "{LABEL}", CAST(2 * pos > rows AS INTEGER)::DOUBLE AS prediction,
+  round(pos / rows::DOUBLE, 6) AS probability, CAST(pos AS DOUBLE) AS score
+FROM (SELECT session_id, label, CASE WHEN same THEN tn WHEN value <= threshold THEN ln ELSE tn - ln END AS rows,
+    CASE WHEN same THEN tp WHEN value <= threshold THEN lp ELSE tp - lp END AS pos
+  FROM long JOIN (SELECT *, (2 * lp > ln) = (2 * (tp - lp) > tn - ln) AS same FROM best0) USING (slot) WHERE NOT is_train)"""
+_POINTS = _list(f"({i}, {depth}, {side})" for i, (depth, side) in enumerate(product(*STUMP_GRID.values()), 1))
+ORACLES["cv_stump_results"] = _with(
+    *_M, _LONG,
+    "held AS (SELECT fold, slot, feature, value, count(*) AS n, sum(label) AS pos FROM long WHERE is_train GROUP BY ALL)",
+    "total AS (SELECT slot, feature, value, sum(n) AS n, sum(pos) AS pos FROM held GROUP BY ALL)",
+    # The training side of a fold is all rows without its own.
+    """seen AS (SELECT f.fold, t.slot, t.feature, t.value, t.n - coalesce(h.n, 0) AS n, t.pos - coalesce(h.pos, 0) AS pos
+  FROM total t, (SELECT DISTINCT fold FROM held) f LEFT JOIN held h ON h.fold = f.fold AND h.slot = t.slot AND h.value = t.value)""",
+    _splits("splits", "seen", "fold"),
+    f"points(configuration, depth, side) AS (VALUES {_POINTS})",
+    """chosen AS (SELECT * FROM points JOIN splits ON depth = 1 AND ln >= side AND tn - ln >= side AND round(gain, 12) > 0
+  QUALIFY row_number() OVER (PARTITION BY configuration, fold ORDER BY round(gain, 12) DESC, slot, threshold) = 1)""",
+    """guessed AS (
+  SELECT configuration, depth, side, h.fold, h.n, h.pos,
+    CASE WHEN c.slot IS NULL THEN 2 * r.pos > r.n WHEN h.value <= threshold THEN 2 * lp > ln ELSE 2 * (tp - lp) > tn - ln END AS guess
+  FROM points p JOIN held h ON true JOIN (SELECT fold, sum(n) AS n, sum(pos) AS pos FROM seen WHERE slot = 0 GROUP BY fold) r USING (fold)
+  LEFT JOIN chosen c USING (configuration, fold) WHERE h.slot = coalesce(c.slot, 0))""".replace("configuration, depth, side, h.fold", "p.configuration, p.depth, p.side, h.fold"),
+    """measured AS (SELECT configuration, depth, side, avg(accuracy) AS accuracy FROM (
+  SELECT configuration, depth, side, fold, sum(CASE WHEN guess THEN pos ELSE n - pos END) / sum(n)::DOUBLE AS accuracy FROM guessed GROUP BY ALL) GROUP BY ALL)""",
+) + """SELECT CAST(configuration AS BIGINT) AS configuration, CAST(depth AS BIGINT) AS "maxDepth", CAST(side AS BIGINT) AS "minInstancesPerNode",
+  round(accuracy, 6) AS avg_accuracy, row_number() OVER (ORDER BY round(accuracy, 12) DESC, configuration) = 1 AS best FROM measured"""
+
 # Streams: the four arrivals are chosen by key, one micro-batch each
 
 _ARRIVAL = f"CAST({_HASH.format('')} % 4 AS BIGINT)"

@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from cartsight import functions as fn
-from cartsight.operators import encode, features, metrics, models, online, quality, split
+from cartsight.operators import encode, features, metrics, models, nodes, online, quality, split
 from cartsight.schema import (
     BATCH_NUMERIC, CATEGORICAL, KEY, KEYED_SCHEMA, LABEL, ONLINE_FEATURES, RATIOS,
 )
@@ -373,6 +373,40 @@ def slice_model_comparison(spark, folder):
     return rounded(models.compare_slices(features.model_features(halves)))
 
 
+# Trees whose every split SQL can list: numbers with few values
+
+#: Fewest rows on a side of a split, and the settings that cross-validation compares.
+SIDE = 20
+STUMP_GRID = {"maxDepth": (0, 1), "minInstancesPerNode": (20, 400, 4000)}
+
+
+def _few_valued(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
+    return split.split_train_test(nodes.banded(_model_features(spark, folder)).select(KEY, LABEL, *nodes.FEW_VALUED))
+
+
+@query
+def tree_nodes(spark, folder):
+    train, _ = _few_valued(spark, folder)
+    fitted = nodes.fit_numeric_tree(train, maxDepth=2, minInstancesPerNode=SIDE)
+    return rounded(nodes.tree_nodes(fitted).select("path", "feature", "threshold", "gain", "n", "n_positive", "prediction"))
+
+
+@query
+def tree_stump(spark, folder):
+    train, test = _few_valued(spark, folder)
+    fitted = nodes.fit_numeric_tree(train, maxDepth=1, minInstancesPerNode=SIDE)
+    encoded = fitted.stages[0].transform(test)
+    for stage in fitted.stages[1:-1]:
+        encoded = stage.transform(encoded)
+    return rounded(nodes.score_by_nodes(nodes.tree_nodes(fitted), encoded).select(KEY, LABEL, "prediction", "probability", "score"))
+
+
+@query
+def cv_stump_results(spark, folder):
+    train, _ = _few_valued(spark, folder)
+    return rounded(models.grid_results(train, grid=STUMP_GRID, numeric=nodes.FEW_VALUED, categorical=()))
+
+
 # Streams: the lines of all sessions, as files that arrive in a few micro-batches
 
 
