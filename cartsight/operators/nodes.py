@@ -10,20 +10,24 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cartsight.operators.encode import encoding_stages, labelled, slot_names
+from cartsight.operators.features import model_features
 from cartsight.operators.models import tree
-from cartsight.schema import BATCH_NUMERIC, CATEGORICAL, LABEL
+from cartsight.schema import BATCH_NUMERIC, CATEGORICAL, KEY, LABEL, PAGE_GROUPS
 from cartsight.storage import kept, shared_path
 
 # A depth of nodes is at most 2 ** depth rows, and depth is bounded by the learner (30): trees of this depth stay one expression.
 DEEPEST = 12
 # Numbers with few values, so that every split of a small tree can be listed.
 BANDS = {"PageValues_Band": ("PageValues", 5.0), "BounceRates_Band": ("BounceRates", 0.02), "ExitRates_Band": ("ExitRates", 0.02)}
-FEW_VALUED = (*BANDS, "Month_Number", "Is_Special_Date", "Weekend")
+PAGES = "Pages"
+FEW_VALUED = (PAGES, *BANDS, "Month_Number", "Is_Special_Date", "Weekend")
 
 
-def banded(features: DataFrame) -> DataFrame:
-    """Add the ``BANDS``: how often a fixed width fits into a number."""
-    return features.withColumns({name: F.floor(F.round(F.col(c) / width, 9)).cast("int") for name, (c, width) in BANDS.items()})
+def few_valued(sessions: DataFrame) -> DataFrame:
+    """Key, label and the ``FEW_VALUED`` numbers: pages in all, how often a fixed width fits into a number, month and flags."""
+    pages = sessions.withColumn(PAGES, sum(F.col(group) for group in PAGE_GROUPS))
+    bands = {name: F.floor(F.round(F.col(c) / width, 9)).cast("int") for name, (c, width) in BANDS.items()}
+    return model_features(pages, (KEY, PAGES)).withColumns(bands).select(KEY, LABEL, *FEW_VALUED)
 
 
 def numeric_tree(columns: Sequence[str] = FEW_VALUED, **settings: int) -> Pipeline:

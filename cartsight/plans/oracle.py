@@ -2,7 +2,7 @@
 
 from itertools import product
 
-from cartsight.operators.nodes import BANDS, FEW_VALUED
+from cartsight.operators.nodes import BANDS, FEW_VALUED, PAGES
 from cartsight.plans.queries import SCORE_WEIGHTS, SIDE, STUMP_GRID
 from cartsight.schema import (
     BATCH_COLUMNS, BATCH_NUMERIC, CATEGORICAL, KEY, LABEL, MONTHS, ONLINE_FEATURES, PAGE_GROUPS,
@@ -432,6 +432,8 @@ def _best(name: str, splits: str) -> str:
   QUALIFY row_number() OVER (PARTITION BY path ORDER BY round(gain, 12) DESC, slot, threshold) = 1)"""
 
 
+_PAGES = f", {' + '.join(_quoted([g]) for g in PAGE_GROUPS)} AS \"{PAGES}\""
+_N = (*_S, _features("sessions", extra=_PAGES), _model(extra=f', "{PAGES}"'))
 _GROWN = (
     _LONG,
     "counts0 AS (SELECT '' AS path, slot, feature, value, count(*) AS n, sum(label) AS pos FROM long WHERE is_train GROUP BY ALL)",
@@ -446,18 +448,26 @@ _GROWN = (
 )
 _TOTALS = "SELECT '' AS path, sum(n) AS n, sum(pos) AS pos FROM counts0 WHERE slot = 0"
 _CHILDREN = """SELECT path || 'L' AS path, ln AS n, lp AS pos FROM {0} UNION ALL SELECT path || 'R', tn - ln, tp - lp FROM {0}"""
-ORACLES["tree_nodes"] = _with(*_M, *_GROWN) + f"""SELECT path, feature, round(threshold, 6) AS threshold, round(gain, 6) AS gain,
+_NODES = f"""nodes AS ({_TOTALS} UNION ALL {_CHILDREN.format('kept0')} UNION ALL {_CHILDREN.format('(FROM kept1 WHERE EXISTS (FROM kept0))')})"""
+ORACLES["tree_nodes"] = _with(*_N, *_GROWN, _NODES) + """SELECT path, feature, round(threshold, 6) AS threshold, round(gain, 6) AS gain,
   CAST(a.n AS BIGINT) AS n, CAST(a.pos AS BIGINT) AS n_positive, CAST(2 * a.pos > a.n AS INTEGER)::DOUBLE AS prediction
-FROM ({_TOTALS} UNION ALL {_CHILDREN.format('kept0')} UNION ALL {_CHILDREN.format('(FROM kept1 WHERE EXISTS (FROM kept0))')}) a
-LEFT JOIN (FROM kept0 UNION ALL FROM kept1) USING (path)"""
-ORACLES["tree_stump"] = _with(*_M, *_GROWN[:4]) + f"""SELECT session_id, label AS "{LABEL}", CAST(2 * pos > rows AS INTEGER)::DOUBLE AS prediction,
+FROM nodes a LEFT JOIN (FROM kept0 UNION ALL FROM kept1) USING (path)"""
+_STEP = """SELECT p.session_id, p.label, p.path || CASE WHEN k.slot IS NULL THEN '' WHEN v.value <= threshold THEN 'L' ELSE 'R' END AS path
+  FROM {0} p LEFT JOIN {1} k ON k.path = p.path LEFT JOIN long v ON v.session_id = p.session_id AND v.slot = k.slot"""
+ORACLES["tree_node_scores"] = _with(
+    *_N, *_GROWN, _NODES,
+    "place0 AS (SELECT session_id, label, '' AS path FROM long WHERE slot = 0 AND NOT is_train)",
+    f"place1 AS ({_STEP.format('place0', 'kept0')})", f"place2 AS ({_STEP.format('place1', 'kept1')})",
+) + f"""SELECT session_id, label AS "{LABEL}", CAST(2 * pos > n AS INTEGER)::DOUBLE AS prediction,
+  round(pos / n::DOUBLE, 6) AS probability, CAST(pos AS DOUBLE) AS score FROM place2 JOIN nodes USING (path)"""
+ORACLES["tree_stump"] = _with(*_N, *_GROWN[:4]) + f"""SELECT session_id, label AS "{LABEL}", CAST(2 * pos > rows AS INTEGER)::DOUBLE AS prediction,
   round(pos / rows::DOUBLE, 6) AS probability, CAST(pos AS DOUBLE) AS score
 FROM (SELECT session_id, label, CASE WHEN same THEN tn WHEN value <= threshold THEN ln ELSE tn - ln END AS rows,
     CASE WHEN same THEN tp WHEN value <= threshold THEN lp ELSE tp - lp END AS pos
   FROM long JOIN (SELECT *, (2 * lp > ln) = (2 * (tp - lp) > tn - ln) AS same FROM best0) USING (slot) WHERE NOT is_train)"""
 _POINTS = _list(f"({i}, {depth}, {side})" for i, (depth, side) in enumerate(product(*STUMP_GRID.values()), 1))
 ORACLES["cv_stump_results"] = _with(
-    *_M, _LONG,
+    *_N, _LONG,
     "held AS (SELECT fold, slot, feature, value, count(*) AS n, sum(label) AS pos FROM long WHERE is_train GROUP BY ALL)",
     "total AS (SELECT slot, feature, value, sum(n) AS n, sum(pos) AS pos FROM held GROUP BY ALL)",
     # The training side of a fold is all rows without its own.
@@ -465,15 +475,27 @@ ORACLES["cv_stump_results"] = _with(
   FROM total t, (SELECT DISTINCT fold FROM held) f LEFT JOIN held h ON h.fold = f.fold AND h.slot = t.slot AND h.value = t.value)""",
     _splits("splits", "seen", "fold"),
     f"points(configuration, depth, side) AS (VALUES {_POINTS})",
-    """chosen AS (SELECT * FROM points JOIN splits ON depth = 1 AND ln >= side AND tn - ln >= side AND round(gain, 12) > 0
+    """chosen AS (SELECT * FROM points JOIN splits ON ln >= side AND tn - ln >= side AND round(gain, 12) > 0
   QUALIFY row_number() OVER (PARTITION BY configuration, fold ORDER BY round(gain, 12) DESC, slot, threshold) = 1)""",
-    """guessed AS (
-  SELECT configuration, depth, side, h.fold, h.n, h.pos,
-    CASE WHEN c.slot IS NULL THEN 2 * r.pos > r.n WHEN h.value <= threshold THEN 2 * lp > ln ELSE 2 * (tp - lp) > tn - ln END AS guess
-  FROM points p JOIN held h ON true JOIN (SELECT fold, sum(n) AS n, sum(pos) AS pos FROM seen WHERE slot = 0 GROUP BY fold) r USING (fold)
-  LEFT JOIN chosen c USING (configuration, fold) WHERE h.slot = coalesce(c.slot, 0))""".replace("configuration, depth, side, h.fold", "p.configuration, p.depth, p.side, h.fold"),
+    # The second level is counted under the first split of each configuration and fold.
+    """halves AS (SELECT configuration, side, c.fold, l.session_id, CASE WHEN l.value <= threshold THEN 'L' ELSE 'R' END AS path
+  FROM chosen c JOIN long l ON l.slot = c.slot AND l.is_train WHERE depth = 2)""",
+    """seen2 AS (SELECT configuration, side, h.fold, path, slot, feature, value, count(*) AS n, sum(label) AS pos
+  FROM halves h JOIN long l ON l.session_id = h.session_id AND l.fold <> h.fold GROUP BY ALL)""",
+    _splits("splits2", "seen2", "configuration, side, fold, path"),
+    """chosen2 AS (SELECT * FROM splits2 WHERE ln >= side AND tn - ln >= side AND round(gain, 12) > 0
+  QUALIFY row_number() OVER (PARTITION BY configuration, fold, path ORDER BY round(gain, 12) DESC, slot, threshold) = 1)""",
+    """guessed AS (SELECT p.configuration, p.depth, p.side, s.fold, s.label, CASE
+    WHEN d.slot IS NOT NULL THEN CASE WHEN w.value <= d.threshold THEN 2 * d.lp > d.ln ELSE 2 * (d.tp - d.lp) > d.tn - d.ln END
+    WHEN c.slot IS NOT NULL THEN CASE WHEN v.value <= c.threshold THEN 2 * c.lp > c.ln ELSE 2 * (c.tp - c.lp) > c.tn - c.ln END
+    ELSE 2 * r.pos > r.n END AS guess
+  FROM points p JOIN long s ON s.slot = 0 AND s.is_train
+  JOIN (SELECT fold, sum(n) AS n, sum(pos) AS pos FROM seen WHERE slot = 0 GROUP BY fold) r ON r.fold = s.fold
+  LEFT JOIN chosen c ON c.configuration = p.configuration AND c.fold = s.fold LEFT JOIN long v ON v.session_id = s.session_id AND v.slot = c.slot
+  LEFT JOIN chosen2 d ON d.configuration = p.configuration AND d.fold = s.fold AND d.path = CASE WHEN v.value <= c.threshold THEN 'L' ELSE 'R' END
+  LEFT JOIN long w ON w.session_id = s.session_id AND w.slot = d.slot)""",
     """measured AS (SELECT configuration, depth, side, avg(accuracy) AS accuracy FROM (
-  SELECT configuration, depth, side, fold, sum(CASE WHEN guess THEN pos ELSE n - pos END) / sum(n)::DOUBLE AS accuracy FROM guessed GROUP BY ALL) GROUP BY ALL)""",
+  SELECT configuration, depth, side, fold, avg(CAST(guess = (label = 1) AS INTEGER)) AS accuracy FROM guessed GROUP BY ALL) GROUP BY ALL)""",
 ) + """SELECT CAST(configuration AS BIGINT) AS configuration, CAST(depth AS BIGINT) AS "maxDepth", CAST(side AS BIGINT) AS "minInstancesPerNode",
   round(accuracy, 6) AS avg_accuracy, row_number() OVER (ORDER BY round(accuracy, 12) DESC, configuration) = 1 AS best FROM measured"""
 

@@ -2,6 +2,7 @@
 
 from collections.abc import Callable
 
+from pyspark.ml import PipelineModel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -377,11 +378,11 @@ def slice_model_comparison(spark, folder):
 
 #: Fewest rows on a side of a split, and the settings that cross-validation compares.
 SIDE = 20
-STUMP_GRID = {"maxDepth": (0, 1), "minInstancesPerNode": (20, 400, 4000)}
+STUMP_GRID = {"maxDepth": (1, 2), "minInstancesPerNode": (20, 400, 1000)}
 
 
 def _few_valued(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
-    return split.split_train_test(nodes.banded(_model_features(spark, folder)).select(KEY, LABEL, *nodes.FEW_VALUED))
+    return split.split_train_test(nodes.few_valued(shop_sessions(spark, folder)))
 
 
 @query
@@ -391,16 +392,23 @@ def tree_nodes(spark, folder):
     return rounded(nodes.tree_nodes(fitted).select("path", "feature", "threshold", "gain", "n", "n_positive", "prediction"))
 
 
-@query
-def tree_stump(spark, folder):
+def _node_scores(spark: SparkSession, folder: str, depth: int) -> DataFrame:
     train, test = _few_valued(spark, folder)
-    fitted = nodes.fit_numeric_tree(train, maxDepth=1, minInstancesPerNode=SIDE)
-    encoded = fitted.stages[0].transform(test)
-    for stage in fitted.stages[1:-1]:
-        encoded = stage.transform(encoded)
+    fitted = nodes.fit_numeric_tree(train, maxDepth=depth, minInstancesPerNode=SIDE)
+    encoded = PipelineModel(fitted.stages[:-1]).transform(test)
     return rounded(nodes.score_by_nodes(nodes.tree_nodes(fitted), encoded).select(KEY, LABEL, "prediction", "probability", "score"))
 
 
+@query
+def tree_stump(spark, folder):
+    return _node_scores(spark, folder, 1)
+
+
+@query
+def tree_node_scores(spark, folder):
+    return _node_scores(spark, folder, 2)
+
+
 @query
 def cv_stump_results(spark, folder):
     train, _ = _few_valued(spark, folder)

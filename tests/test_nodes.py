@@ -56,5 +56,6 @@ def test_too_deep_for_one_condition(rows, monkeypatch):
 
 
 def test_grid_without_categories(rows):
-    results = models.cross_validate(nodes.banded(rows), {"maxDepth": (0, 2)}, folds=2, numeric=nodes.FEW_VALUED, categorical=())
+    small = nodes.few_valued(shop_sessions(rows.sparkSession, "/root/testdata/sf0.001"))
+    results = models.cross_validate(small, {"maxDepth": (0, 2)}, folds=2, numeric=nodes.FEW_VALUED, categorical=())
     assert [point["maxDepth"] for point, _ in results] == [0, 2] and all(0.5 < accuracy <= 1 for _, accuracy in results)
