@@ -8,11 +8,12 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cartsight.operators.dictionary import dictionaries, encode_labels, index_labels
 from cartsight.schema import BATCH_NUMERIC, CATEGORICAL, LABEL, STREAM_NUMERIC
 from cartsight.storage import kept
 
 
-# Labels that a category may have: they are collected, and each widens the feature vector.
+# Labels that a category may have where each becomes a column or a slot that a tree splits on: they are collected.
 LABEL_LIMIT = 1000
 
 
@@ -80,9 +81,13 @@ def labelled(df: DataFrame, label: str = LABEL) -> DataFrame:
 
 
 def string_index(train: DataFrame, df: DataFrame, columns: Sequence[str] = CATEGORICAL) -> DataFrame:
-    """Add ``<column>_index``, learned from ``train``."""
-    check_labels(train, columns)
-    return indexer(columns).fit(train).transform(df)
+    """Add ``<column>_index``, learned from ``train``, for any number of labels."""
+    return index_labels(df, dictionaries(train.select(*columns), columns))
+
+
+def one_hot_slots(train: DataFrame, df: DataFrame, columns: Sequence[str] = CATEGORICAL) -> DataFrame:
+    """Add ``<column>_encoded``, a sparse 0/1 vector learned from ``train``, for any number of labels."""
+    return encode_labels(df, dictionaries(train.select(*columns), columns))
 
 
 def one_hot(train: DataFrame, df: DataFrame, columns: Sequence[str] = CATEGORICAL) -> DataFrame:

@@ -400,6 +400,23 @@ SELECT round(sum(neg * (pos_upto - pos / 2)) / any_value(p * n), 6) AS auc_roc,
   round(sum(pos * (pos_upto / all_upto + coalesce((pos_upto - pos) / nullif(all_upto - pos - neg, 0), pos_upto / all_upto)) / 2) / any_value(p), 6) AS auc_pr
 FROM curve"""
 
+
+
+def _dictionary(name: str, column: str, source: str, where: str) -> str:
+    return f"""{name} AS (SELECT {column} AS label, row_number() OVER (ORDER BY count(*) DESC, {column}) - 1 AS place
+  FROM {source} WHERE {where} GROUP BY {column})"""
+
+
+ORACLES["one_hot_slots"] = _with(
+    *_M, *(_dictionary(f"d{i}", f'"{c}"', "model", f"{_TRAIN} AND \"OperatingSystems\" <> 'OS_3'") for i, c in enumerate(CATEGORICAL))
+) + "SELECT session_id, {} FROM model {}".format(
+    _list(f'coalesce(d{i}.place, -1) AS "{c}_slot"' for i, c in enumerate(CATEGORICAL)),
+    " ".join(f'LEFT JOIN d{i} ON d{i}.label = "{c}"' for i, c in enumerate(CATEGORICAL)),
+)
+_ORDERS = 'placed AS (SELECT o_orderkey AS session_id, CAST(o_custkey AS VARCHAR) AS "Customer" FROM orders)'
+ORACLES["index_customers"] = _with(_ORDERS, _dictionary("d", '"Customer"', "placed", _TRAIN)) + """SELECT session_id, "Customer",
+  coalesce(place, (SELECT count(*) FROM d)) AS "Customer_index" FROM placed LEFT JOIN d ON label = "Customer" """
+
 # Trees: every split of a number with few values is listed
 
 _FEW = {

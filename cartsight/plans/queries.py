@@ -3,6 +3,7 @@
 from collections.abc import Callable
 
 from pyspark.ml import PipelineModel
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -286,6 +287,25 @@ def one_hot(spark, folder):
     return encode.one_hot(train, rows).drop(*CATEGORICAL)
 
 
+@query
+def one_hot_slots(spark, folder):
+    """The filled slot of each sparse vector, -1 for none; the training rows miss a label."""
+    rows = _model_features(spark, folder).select(KEY, *CATEGORICAL)
+    train, _ = split.split_train_test(rows)
+    encoded = encode.one_hot_slots(train.where("OperatingSystems <> 'OS_3'"), rows)
+    filled = {c: F.array_position(vector_to_array(f"{c}_encoded"), F.lit(1.0)).cast("bigint") - 1 for c in CATEGORICAL}
+    return encoded.select(KEY, *(slot.alias(f"{c}_slot") for c, slot in filled.items()))
+
+
+@query
+def index_customers(spark, folder):
+    """A category with as many labels as there are customers, learned from the training orders."""
+    orders = spark.read.parquet(f"{folder}/orders.parquet").select(F.col("o_orderkey").alias(KEY), F.col("o_custkey").cast("string").alias("Customer"))
+    train, _ = split.split_train_test(orders)
+    indexed = encode.string_index(train, orders, ["Customer"])
+    return indexed.select(KEY, "Customer", F.col("Customer_index").cast("bigint").alias("Customer_index"))
+
+
 @query
 def standardize(spark, folder):
     rows = _model_features(spark, folder).select(KEY, *BATCH_NUMERIC)
