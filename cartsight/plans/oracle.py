@@ -519,9 +519,14 @@ ORACLES["cv_stump_results"] = _with(
 # Streams: the four arrivals are chosen by key, one micro-batch each
 
 _ARRIVAL = f"CAST({_HASH.format('')} % 4 AS BIGINT)"
-ORACLES["stream_tree_guards"] = _with(*_BROKEN, _STREAM) + f"""SELECT {_ARRIVAL} AS batch_id, 'ok' AS status, count(*) AS n_rows,
-  count(*) FILTER (WHERE "BounceRates" IS NOT NULL AND "ExitRates" IS NOT NULL AND "PageValues" IS NOT NULL) AS n_clean
-FROM stream GROUP BY ALL"""
+ORACLES["stream_batch_log"] = _with(*_S) + f"SELECT {_ARRIVAL} AS batch_id, count(*) AS n_lines FROM sessions GROUP BY ALL"
+ORACLES["stream_tree_guards"] = _with(*_BROKEN, _STREAM) + f"""SELECT batch_id, n_rows, n_clean, CASE WHEN n_rows = 0 THEN 'empty'
+    WHEN n_clean < 20 THEN 'too_few_rows' WHEN classes = 1 THEN 'one_class' ELSE 'ok' END AS status
+FROM (SELECT CASE s."Browser" WHEN 13 THEN 0 WHEN 11 THEN 1 WHEN 10 THEN 2 ELSE 3 END::BIGINT AS batch_id, count(t.session_id) AS n_rows,
+    count(t.session_id) FILTER (WHERE clean) AS n_clean, count(DISTINCT t."{LABEL}") FILTER (WHERE clean) AS classes
+  FROM sessions s LEFT JOIN (
+    SELECT *, "BounceRates" IS NOT NULL AND "ExitRates" IS NOT NULL AND "PageValues" IS NOT NULL AS clean FROM stream) t USING (session_id)
+  GROUP BY ALL)"""
 
 _STEPS = 5
 _AT = " + ".join(f'w[{i}] * "{x}"' for i, x in enumerate(ONLINE_FEATURES, 1))

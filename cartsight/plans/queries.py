@@ -18,8 +18,8 @@ from cartsight.sources import (
     damaged_lines, line_stream, read_sessions, session_lines, session_texts, shop_sessions,
     write_slices,
 )
-from cartsight.storage import shared_path
-from cartsight.streaming import online_stream, parsed_sink, read_batches, run, tree_stream
+from cartsight.storage import cut_lineage, shared_path
+from cartsight.streaming import batch_files, online_stream, parsed_sink, read_batches, run, tree_stream
 from cartsight.streaming import online as online_stream_module
 from cartsight.streaming import tree as tree_stream_module
 
@@ -438,14 +438,27 @@ def cv_stump_results(spark, folder):
 # Streams: the lines of all sessions, as files that arrive in a few micro-batches
 
 
-def _run_arrivals(lines: DataFrame, start: Callable[[DataFrame, str], StreamingQuery]) -> None:
-    """Let the lines arrive in ``STREAM_BATCHES`` parts, chosen by key, and run the stream after each: a part is a micro-batch."""
+#: Lines of a file at most; an arrival is so many files of about equal size.
+FILE_LINES = 1_000_000
+
+
+def _run_arrivals(lines: DataFrame, start: Callable[[DataFrame, str], StreamingQuery], arrival: Column | None = None) -> str:
+    """Let the lines arrive in ``STREAM_BATCHES`` parts, chosen by key, and run one query over them: a part is a micro-batch.
+
+    The lines are computed once.  Every part is the same number of files, and
+    the stream admits so many files at a time, the oldest first.  Returns the
+    checkpoint folder.
+    """
     spark = lines.sparkSession
     path, state = shared_path(spark, "lines"), shared_path(spark, "state")
-    arrival = fn.bucket(F.col(KEY), STREAM_BATCHES)
+    arrival = fn.bucket(F.col(KEY), STREAM_BATCHES) if arrival is None else arrival
+    held = cut_lineage(lines.select("value", arrival.alias("arrival")), "arrivals")
+    sizes = [r["count"] for r in held.groupBy("arrival").count().collect()]  # STREAM_BATCHES rows
+    files = min(-(-max(sizes, default=1) // FILE_LINES), min(sizes, default=1))
     for i in range(STREAM_BATCHES):
-        lines.where(arrival == i).select("value").write.mode("append").text(path)
-        run(start(line_stream(spark, path), state))
+        held.where(F.col("arrival") == i).select("value").repartition(files).write.mode("append").text(path)
+    run(start(line_stream(spark, path, maxFilesPerTrigger=files), state))
+    return state
 
 
 @query
@@ -455,6 +468,19 @@ def stream_parse_sessions(spark, folder):
     return spark.read.parquet(out).drop(KEY)
 
 
+@query
+def stream_batch_log(spark, folder):
+    """Lines of every micro-batch, from the log of the files that it was given."""
+    out = shared_path(spark, "parsed")
+    state = _run_arrivals(session_lines(shop_sessions(spark, folder)), lambda lines, state: parsed_sink(lines, out, state, available_now=True))
+    log = batch_files(spark, state)
+    files = [r["path"] for r in log.select("path").collect()]  # as many as the log has lines
+    lines = spark.read.text(files).groupBy(F.col("_metadata.file_path").alias("path")).agg(F.count(F.lit(1)).alias("n"))
+    name = F.element_at(F.split("path", "/"), -1)
+    counted = log.select("batch_id", name.alias("file")).join(lines.select(name.alias("file"), "n"), "file")
+    return counted.groupBy("batch_id").agg(F.sum("n").alias("n_lines"))
+
+
 def _tree_metrics(spark: SparkSession, folder: str, **options) -> DataFrame:
     table = shared_path(spark, "tree")
     _run_arrivals(
@@ -475,8 +501,12 @@ def stream_tree_metrics_all_rows(spark, folder):
 
 @query
 def stream_tree_guards(spark, folder):
-    table = shared_path(spark, "tree")
-    _run_arrivals(damaged_lines(shop_sessions(spark, folder)), lambda lines, state: tree_stream(lines, table, state, available_now=True))
+    """Arrivals by browser: cut lines only, garbage in a checked number, one class, and all others."""
+    table, browser = shared_path(spark, "tree"), F.col("Browser")
+    sessions = shop_sessions(spark, folder)
+    arrival = F.when(browser == 13, 0).when(browser == 11, 1).when(browser == 10, 2).otherwise(3).alias("arrival")
+    lines = damaged_lines(sessions).join(sessions.select(KEY, arrival), KEY)
+    _run_arrivals(lines, lambda lines, state: tree_stream(lines, table, state, available_now=True), F.col("arrival"))
     return read_batches(spark, table, tree_stream_module.METRICS).select("batch_id", "status", "n_rows", "n_clean")
 
 

@@ -41,6 +41,16 @@ def read_batches(spark: SparkSession, table: str, schema: str) -> DataFrame:
     return rows.select("batch_id", *(c for c in rows.columns if c != "batch_id"))
 
 
+def batch_files(spark: SparkSession, checkpoint: str) -> DataFrame:
+    """``batch_id, path`` of every file that a query over a folder has been given, from the log in its checkpoint.
+
+    The log lists a file with the batch that read it first; a replayed batch reads the same files.
+    """
+    lines = spark.read.text(f"{checkpoint}/sources/0").where(F.col("value").startswith("{"))
+    entry = F.from_json("value", "path STRING, batchId BIGINT")
+    return lines.select(entry.alias("entry")).select(F.col("entry.batchId").alias("batch_id"), "entry.path").distinct()
+
+
 def start(
     writer: DataStreamWriter, checkpoint: str, every: str | None = None, available_now: bool = False
 ) -> StreamingQuery:
