@@ -37,6 +37,11 @@ def bucket(key: Column, buckets: int, seed: int = 0, skip: int = 1) -> Column:
     return (value.cast("bigint") % buckets).cast("int")
 
 
-def content_key(*columns: Column) -> Column:
-    """A key for records that carry none: equal records get equal keys."""
-    return F.xxhash64(*columns)
+def content_key(*columns: Column | str) -> Column:
+    """A key for records that carry none: equal records get equal keys.
+
+    The first 15 hexadecimal digits of the MD5 sum of the values as text, which
+    any engine can compute; U+001F divides the values, U+0000 stands for a null.
+    """
+    texts = (F.coalesce((F.col(c) if isinstance(c, str) else c).cast("string"), F.lit("\u0000")) for c in columns)
+    return F.conv(F.left(F.md5(F.concat_ws("\u001f", *texts)), F.lit(15)), 16, 10).cast("bigint")

@@ -528,6 +528,18 @@ FROM (SELECT CASE s."Browser" WHEN 13 THEN 0 WHEN 11 THEN 1 WHEN 10 THEN 2 ELSE
     SELECT *, "BounceRates" IS NOT NULL AND "ExitRates" IS NOT NULL AND "PageValues" IS NOT NULL AS clean FROM stream) t USING (session_id)
   GROUP BY ALL)"""
 
+# The key of a line is the start of its MD5 sum, its upper half folded in before it is hashed.
+_LINE_KEYS = """line_keys AS (SELECT session_id, ('0x' || left(md5(value), 15))::BIGINT AS line_key FROM lines),
+parts AS (SELECT session_id, ((line_key % 4294967296 + (line_key >> 32) * 1540483477) % 4294967296)::HUGEINT * 2654435761 % 4294967296 % 100 < 80 AS is_train
+  FROM line_keys)"""
+ORACLES["stream_tree_splits"] = _with(*_BROKEN, _STREAM, _LINE_KEYS) + """SELECT batch_id, 'ok' AS status, count(*) AS n_rows, count(*) FILTER (WHERE clean) AS n_clean,
+  {} FROM (SELECT {} AS batch_id, is_train, "{}" = 1 AS positive,
+    "BounceRates" IS NOT NULL AND "ExitRates" IS NOT NULL AND "PageValues" IS NOT NULL AS clean FROM stream JOIN parts USING (session_id))
+GROUP BY batch_id""".format(
+    _list(f"count(*) FILTER (WHERE clean AND {side}{classes}) AS {name}" for side, part in (("is_train", "n_train"), ("NOT is_train", "n_test"))
+          for classes, name in (("", part), (" AND positive", f"{part}_positive"))), _ARRIVAL, LABEL
+)
+
 _STEPS = 5
 _AT = " + ".join(f'w[{i}] * "{x}"' for i, x in enumerate(ONLINE_FEATURES, 1))
 _NEXT = _list(

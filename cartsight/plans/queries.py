@@ -510,6 +510,15 @@ def stream_tree_guards(spark, folder):
     return read_batches(spark, table, tree_stream_module.METRICS).select("batch_id", "status", "n_rows", "n_clean")
 
 
+@query
+def stream_tree_splits(spark, folder):
+    """Rows and positive rows on both sides of the split of every micro-batch, some of them damaged lines."""
+    table = shared_path(spark, "tree")
+    _run_arrivals(damaged_lines(shop_sessions(spark, folder)), lambda lines, state: tree_stream(lines, table, state, available_now=True))
+    columns = ("batch_id", "status", "n_rows", "n_clean", "n_train", "n_test", "n_train_positive", "n_test_positive")
+    return read_batches(spark, table, tree_stream_module.METRICS).select(*columns)
+
+
 def _online_rows(spark: SparkSession, folder: str, **options) -> DataFrame:
     """Quality, first pairs and weights of every micro-batch."""
     weights, table = shared_path(spark, "weights"), shared_path(spark, "online")

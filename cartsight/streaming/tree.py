@@ -10,7 +10,7 @@ from cartsight.operators.features import stream_features
 from cartsight.operators.models import evaluate_tree, fit_tree, stream_tree
 from cartsight.operators.quality import drop_null_rows, missing
 from cartsight.operators.split import cap_rows, is_train, split_train_test
-from cartsight.schema import KEY, STREAM_NUMERIC
+from cartsight.schema import KEY, LABEL, STREAM_NUMERIC
 from cartsight.storage import kept
 from cartsight.streaming.lines import parse_stream
 from cartsight.streaming.tables import in_layout, start, write_batch
@@ -20,7 +20,7 @@ EVERY = "30 seconds"
 MIN_ROWS = 20
 
 METRICS = (
-    "status STRING, n_rows BIGINT, n_clean BIGINT, n_train BIGINT, n_test BIGINT, "
+    "status STRING, n_rows BIGINT, n_clean BIGINT, n_train BIGINT, n_test BIGINT, n_train_positive BIGINT, n_test_positive BIGINT, "
     "auc_roc DOUBLE, auc_pr DOUBLE, accuracy DOUBLE, precision DOUBLE, recall DOUBLE, f1 DOUBLE"
 )
 
@@ -33,6 +33,7 @@ def tree_batch(
 
     All held-out rows are scored.  ``max_train_rows`` bounds the rows that the
     tree is fitted on, the same ones each time; ``n_train`` counts them.
+    ``n_train_positive`` counts the positive rows before that bound.
     """
     with kept(batch):
         counts = batch.agg(
@@ -47,8 +48,10 @@ def tree_batch(
             return write_batch(in_layout(one_row, METRICS, status="too_few_rows", **known), table, batch_id)
 
         clean = drop_null_rows(batch)
+        positive = F.col(LABEL).cast("int") == 1
         known |= clean.agg(
-            F.count_if(is_train(key)).alias("n_train"), F.count_if(~is_train(key)).alias("n_test")
+            F.count_if(is_train(key)).alias("n_train"), F.count_if(~is_train(key)).alias("n_test"),
+            F.count_if(is_train(key) & positive).alias("n_train_positive"), F.count_if(~is_train(key) & positive).alias("n_test_positive"),
         ).first().asDict()
         if known["n_train"] == 0 or known["n_test"] == 0:
             return write_batch(in_layout(one_row, METRICS, status="empty_split", **known), table, batch_id)
