@@ -43,42 +43,57 @@ def split_exact_halves(df: DataFrame, key: str = KEY, seed: int = 1) -> DataFram
 
     Ranking all rows would be one task's work, so the row at the boundary is
     found by counting: rows per hash prefix (4,096 at most), then per hash
-    inside one prefix (2**20 at most), then by key inside one hash.  The passes
+    inside one prefix (2**20 at most), then per key inside one hash.  The passes
     read the key column only, and no row is moved.  A null key is below all
-    others of its hash.  Where the key at the boundary occurs more than once, no
-    rule can tell its rows apart, and the query fails.
+    others of its hash.  Where the key at the boundary occurs more than once, its
+    rows are divided in the same way by a hash of their content; rows that are
+    equal in every column are divided by their number.
     """
     hashed = df.select(F.col(key).alias("key"), key_hash(F.col(key), seed).alias("hash"))
-    hashed = hashed.withColumn("prefix", F.shiftright("hash", _FINE_BITS))
-
-    prefixes = hashed.groupBy("prefix").agg(F.count(F.lit(1)).alias("n"))
-    total = F.sum("n").over(Window.partitionBy())
-    prefix = _holding(
-        prefixes.withColumn("target", F.floor(total / 2)), "prefix"
-    )
-
-    inside = hashed.join(F.broadcast(prefix), "prefix")
-    hashes = inside.groupBy("hash").agg(
-        F.count(F.lit(1)).alias("n"), F.any_value("rest").alias("target")
-    )
-    tied = hashed.drop("prefix").join(F.broadcast(_holding(hashes, "hash")), "hash")
-    place = F.row_number().over(Window.partitionBy("hash").orderBy("key"))
-    alike = F.count(F.lit(1)).over(Window.partitionBy("hash", "key"))
-    unique = F.when(F.col("alike") > 1, F.raise_error(F.lit("exact halves need a unique key"))).otherwise(F.col("hash"))
-    placed = tied.withColumns({"place": place, "alike": alike}).where("place = rest")
-    last = placed.select(F.struct(unique.cast("bigint").alias("hash"), "key"))
+    half = hashed.count() // 2
+    if half == 0:
+        return df.withColumn(SLICE, F.lit(2))
+    hash_at, rest = _holding_hash(hashed, half)
+    keys = hashed.where(F.col("hash") == hash_at).groupBy("key").agg(F.count(F.lit(1)).alias("n"))
+    last = _holding(keys.withColumn("target", F.lit(rest)), "key").first()
 
     position = F.struct(key_hash(F.col(key), seed).alias("hash"), F.col(key).alias("key"))
-    return df.withColumn(SLICE, F.when(position <= last.scalar(), 1).otherwise(2))
+    boundary = F.struct(F.lit(hash_at).cast("bigint").alias("hash"), F.lit(last["key"]).cast(df.schema[key].dataType).alias("key"))
+    if last["rest"] == last["n"]:
+        return df.withColumn(SLICE, F.when(position <= boundary, 1).otherwise(2))
+
+    content = F.md5(F.to_json(F.struct(*(F.col(f"`{c}`") for c in df.columns)), {"ignoreNullFields": "false"}))
+    alike = df.where(position == boundary).select(content.alias("content"), F.conv(F.left(content, F.lit(8)), 16, 10).cast("bigint").alias("hash"))
+    hash_at, rest = _holding_hash(alike, last["rest"])
+    contents = alike.where(F.col("hash") == hash_at).groupBy("content").agg(F.count(F.lit(1)).alias("n"))
+    last = _holding(contents.withColumn("target", F.lit(rest)), "content").first()
+    # The first 8 digits of the content are its hash, so the texts are in the order of the hashes.
+    first = (position < boundary) | ((position == boundary) & (content <= last["content"]))
+    sliced = df.withColumn(SLICE, F.when(first, 1).otherwise(2))
+    if last["rest"] == last["n"]:
+        return sliced
+    at_boundary = (position == boundary) & (content == last["content"])
+    copies = df.where(at_boundary).limit(1).withColumn(SLICE, F.explode(F.transform(F.sequence(F.lit(1), F.lit(last["n"])), lambda i: F.when(i <= last["rest"], 1).otherwise(2))))
+    return sliced.where(~at_boundary).unionByName(copies)
+
+
+def _holding_hash(hashed: DataFrame, target: int) -> tuple[int, int]:
+    """The ``hash`` (below 2**32) at which the running count of rows reaches ``target``, and the count still missing before it."""
+    prefix = F.shiftright("hash", _FINE_BITS)
+    prefixes = hashed.groupBy(prefix.alias("prefix")).agg(F.count(F.lit(1)).alias("n"))
+    chosen = _holding(prefixes.withColumn("target", F.lit(target)), "prefix").first()
+    hashes = hashed.where(prefix == chosen["prefix"]).groupBy("hash").agg(F.count(F.lit(1)).alias("n"))
+    found = _holding(hashes.withColumn("target", F.lit(chosen["rest"])), "hash").first()
+    return found["hash"], found["rest"]
 
 
 def _holding(counts: DataFrame, value: str) -> DataFrame:
-    """The one ``value`` whose running count reaches ``target``, and the count still ``rest`` in it."""
+    """The one ``value`` whose running count reaches ``target``, the count still ``rest`` in it, and its own count ``n``."""
     before = F.sum("n").over(Window.orderBy(value)) - F.col("n")
     return (
         counts.withColumn("rest", F.col("target") - before)
         .where("rest between 1 and n")
-        .select(value, "rest")
+        .select(value, "rest", "n")
     )
 
 

@@ -2,6 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from cartsight.operators import split
+from cartsight.schema import KEY
 
 PARTITIONS = [1, 3, 8]
 
@@ -86,8 +87,8 @@ def test_halves_with_null_and_repeated_keys(spark):
     one_null = spark.createDataFrame([(None, "n"), *((i, "v") for i in range(1, 11))], "session_id BIGINT, v STRING")
     assert split.split_exact_halves(one_null).where("slice = 1").count() == 5
     repeated = spark.createDataFrame([(7, "v")] * 10 + [(8, "v")], "session_id BIGINT, v STRING")
-    with pytest.raises(Exception, match="unique key"):
-        split.split_exact_halves(repeated).collect()
+    counted = {r["slice"]: r["count"] for r in split.split_exact_halves(repeated).groupBy("slice").count().collect()}
+    assert counted == {1: repeated.count() // 2, 2: repeated.count() - repeated.count() // 2}
 
 
 def test_join_by_key(spark):
@@ -95,3 +96,22 @@ def test_join_by_key(spark):
     right = left.select("session_id", (F.col("session_id") * 2).alias("y"))
     joined = split.join_features_target(left, right).collect()
     assert len(joined) == 50 and all(r["y"] == 2 * r["session_id"] for r in joined)
+
+
+@pytest.mark.parametrize("partitions", [1, 4])
+def test_exact_halves_of_repeated_keys(spark, partitions):
+    """Ten equal keys of eleven rows, a hot null key, equal rows, and rows that differ in their content only."""
+    tables = {
+        "one key": [(7, i) for i in range(10)] + [(8, 0)],
+        "equal rows": [(7, 0)] * 10 + [(8, 0)],
+        "null key": [(None, i % 4) for i in range(30)] + [(i, 0) for i in range(12)],
+        "some equal": [(5, i % 3) for i in range(21)],
+        "one row": [(1, 1)], "two rows": [(1, 1)] * 2, "none": [],
+    }
+    for rows in tables.values():
+        frame = spark.createDataFrame(rows, f"{KEY} bigint, x int").repartition(partitions)
+        halves = split.split_exact_halves(frame).collect()
+        assert sorted((r[KEY], r["x"]) for r in halves if r[KEY] is not None) == sorted(r for r in rows if r[0] is not None) and len(halves) == len(rows)
+        assert sum(r["slice"] == 1 for r in halves) == len(rows) // 2
+        again = split.split_exact_halves(frame.repartition(partitions + 1)).collect()
+        assert sorted(map(repr, halves)) == sorted(map(repr, again))
