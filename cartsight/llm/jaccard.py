@@ -30,12 +30,14 @@ LOCAL = 2
 #: A run is frequent when it has at least this part of all runs (so there are at most 2**22 of them), and at least 8.
 FREQUENT = 2.0**-22
 LEAST_FREQUENT = 8
-#: Buckets up to this size are compared in full at once; larger ones by so many times more members in each round.
+#: Buckets up to this size are compared in full in the second round, where they are not connected yet; larger ones by so many times more members in each round.
 SMALL = 32
+#: Bytes of text that a task turns into sets at once.
+PIECE = 1 << 18
 #: Words of the short sketch that travels with a bucket's rows.
 BRIEF = 4
-#: Keys of texts that are broadcast, at most (about 64 MB); beyond, the join is left to the engine.
-BROADCAST_ROWS = 1_000_000
+#: Keys of texts that are broadcast, at most (about 16 MB); beyond, the join is left to the engine.
+BROADCAST_ROWS = 250_000
 
 
 def _frequent(docs: DataFrame, size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -51,7 +53,7 @@ def _frequent(docs: DataFrame, size: int) -> tuple[np.ndarray, np.ndarray]:
             return pa.RecordBatch.from_arrays([pa.array(tokens[often].view(np.int64)), pa.array(counts[often])], schema.names)
 
         for batch in batches:
-            for piece in pieces(batch, "text"):
+            for piece in pieces(batch, "text", PIECE):
                 for s in shingle_sets(Texts(piece.column("text"), lower=True), size):
                     held.append(s)
                     n += len(s)
@@ -93,7 +95,7 @@ def _set_rows(keyed: DataFrame, size: int, percent: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         common, classes = frequent.value
         for batch in batches:
-            for piece in pieces(batch, "text"):
+            for piece in pieces(batch, "text", PIECE):
                 sets = shingle_sets(Texts(piece.column("text"), lower=True), size)
                 counts = np.array([len(s) for s in sets], np.int64)
                 bounds = np.concatenate([[0], np.cumsum(counts)])
@@ -212,7 +214,7 @@ def _whole_sets(keyed: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for piece in pieces(batch, "text"):
+            for piece in pieces(batch, "text", PIECE):
                 sets = shingle_sets(Texts(piece.column("text"), lower=True), size)
                 yield pa.RecordBatch.from_arrays([piece.column("cid"), _lists([s.view(np.int64) for s in sets])], schema.names)
 
@@ -257,12 +259,10 @@ def _links(keyed: DataFrame, classes: DataFrame, size: int, percent: int) -> Dat
     largest = buckets.agg(F.max("m").alias("m")).first()["m"]
     if largest is None:
         return None
-    small, large = buckets.where(F.col("m") <= SMALL), buckets.where(F.col("m") > SMALL)
-    pairs = _pairs(small.alias("x"), small.alias("y"), percent)
-    if largest > SMALL:
-        pairs = pairs.unionByName(_pairs(large.where("node = first"), large.where("node <> first"), percent)).distinct()
+    # Every bucket's first member against the others: as many rows as the buckets have, and near copies are connected by it.
+    pairs, opened = _pairs(buckets.where("node = first"), buckets.where("node <> first"), percent), buckets
     chance = F.pmod(F.xxhash64("node"), F.lit(1 << 30)) / (1 << 30)
-    sets, links, compared = None, None, SMALL
+    sets, links, compared = None, None, 2
     while True:
         candidates = stored(_sketched(_expanded(pairs, groups).distinct(), classes, percent), "candidates")
         wanted = candidates.select(F.col("a").alias("cid")).union(candidates.select("b")).distinct()
@@ -274,9 +274,10 @@ def _links(keyed: DataFrame, classes: DataFrame, size: int, percent: int) -> Dat
         links = stored(found if links is None else links.unionByName(found), "links")
         if compared >= largest:
             return links
-        large = _labelled(large.where(F.col("m") > compared), groups, stored(_shortcuts(links), "roots"))
-        compared *= SMALL
-        pairs = _pairs(large.where(chance * F.col("m") < compared), large, percent)
+        # What is still not connected: whole buckets up to ``compared`` members, a draw of about so many from larger ones.
+        opened = _labelled(opened.where(F.col("m") > compared), groups, stored(_shortcuts(links), "roots"))
+        compared = max(SMALL, compared * SMALL)
+        pairs = _pairs(opened.where(chance * F.col("m") < compared), opened, percent)
 
 
 def link_documents(docs: DataFrame, size: int = 3, percent: int = 90, key: bool = False) -> DataFrame:
