@@ -33,7 +33,11 @@ def test_dirty_labels_are_refused(spark, features):
     with pytest.raises(ValueError, match="VisitorType"):
         models.fit_tree(many)
     with pytest.raises(ValueError, match="VisitorType"):
-        encode.string_index(many, many)
+        encode.one_hot(many, many)
+    # Indexing alone takes any number of labels.
+    dirty = features.withColumn("VisitorType", F.col(KEY).cast("string"))
+    indexed = encode.string_index(dirty, dirty, ["VisitorType"])
+    assert indexed.select("VisitorType_index").distinct().count() == dirty.count() > encode.LABEL_LIMIT
 
 
 def test_standardize_uses_the_sample_deviation_of_training_rows(spark, features):
