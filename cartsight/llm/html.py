@@ -2,12 +2,13 @@
 
 Markup is stripped into text blocks, the lengths of the blocks are summed over
 sliding windows, and the text between the points where the sums surge and dive
-is kept.  Blocks in navigation, advert, form and comment elements weigh nothing;
-blocks in the page's article weigh at least as much as the threshold, so that
-its short paragraphs stay.
+is kept.  Blocks in navigation, advert, form and comment elements take no part.
+Where what was kept is mostly in the page's article, its ends are moved to those
+of the article, so that short paragraphs there stay.
 """
 
 import re
+from collections import Counter
 from html import unescape
 
 import pandas as pd
@@ -18,7 +19,7 @@ from pyspark.sql import types as T
 #: Blocks in a window, and the characters in a window from which it counts as text.
 WINDOW = 3
 SURGE = 86
-#: Part of the page's open text from which an article element is taken as the page's text.
+#: Part of the kept text that is in an article, from which the article's ends are taken.
 ARTICLE_SHARE = 0.3
 
 # Names of elements, and words in class, id and role, by their part in a page.
@@ -37,7 +38,9 @@ MARKS = frozenset(
 )
 COMMENTS = frozenset("comment comments disqus respond reply replies".split())
 
-_TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<(/?)([A-Za-z][A-Za-z0-9:-]*)((?:"[^"]*"|'[^']*'|[^>"'])*)>|<[!?/][^>]*>""", re.S)
+_MARKUP = re.compile(r"<(?=[!?/A-Za-z])")
+_TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<(/?)([A-Za-z][A-Za-z0-9:-]*+)((?:"[^"]*+"|'[^']*+'|[^>"'])*+)>|<[!?/][^>]*>""", re.S)
+_UNQUOTED = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([A-Za-z][A-Za-z0-9:-]*+)([^>]*)>|<[!?/][^>]*>", re.S)
 _NAMED = re.compile(r"""(?:^|[\s"'])(class|id|role|style|aria-hidden|hidden)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.I)
 
 
@@ -49,6 +52,7 @@ class _Page:
         self.parts: list[str] = []
         self.linked = 0
         self.open: list[tuple[str, bool, bool]] = []  # name, aside, article
+        self.names: Counter[str] = Counter()
 
     def state(self) -> tuple[bool, bool]:
         return (self.open[-1][1], self.open[-1][2]) if self.open else (False, False)
@@ -63,7 +67,7 @@ class _Page:
         if name in BLOCK:
             self.end_block()
             while self.open and self.open[-1][0] in ("p", "li", "dt", "dd", "td", "th", "tr") and (self.open[-1][0] == "p" or self.open[-1][0] == name):
-                self.open.pop()
+                self.names[self.open.pop()[0]] -= 1
         if name in VOID:
             return
         aside, article = self.state()
@@ -82,12 +86,16 @@ class _Page:
         else:
             aside = aside or name in ASIDE or bool(marks & MARKS) or (not article and (name == "header" or "header" in marks))
         self.open.append((name, aside or hidden, article))
+        self.names[name] += 1
 
     def finish(self, name: str) -> None:
         if name in BLOCK:
             self.end_block()
+        if not self.names[name]:
+            return
         for i in range(len(self.open) - 1, -1, -1):
             if self.open[i][0] == name:
+                self.names.subtract(x[0] for x in self.open[i:])
                 del self.open[i:]
                 break
             if name not in BLOCK and self.open[i][0] in BLOCK:
@@ -100,12 +108,23 @@ class _Page:
 
 
 def blocks(html: str) -> list[tuple[str, int, bool, bool]]:
-    """The text blocks of a page in order; comments, scripts, styles and other raw elements are left out."""
-    page, at = _Page(), 0
-    lowered = None
-    while token := _TOKEN.search(html, at):
-        if token.start() > at:
-            page.text(html[at : token.start()])
+    """The text blocks of a page in order; comments, scripts, styles and other raw elements are left out.
+
+    A quoted value may hold ``>``.  From the first tag whose quotes do not close,
+    quotes count as other characters.  A last tag without an end is text.
+    """
+    page, at, last = _Page(), 0, html.rfind(">")
+    pattern = _TOKEN
+    while markup := _MARKUP.search(html, at):
+        start = markup.start()
+        if start > last and not html.startswith("<!--", start):
+            break
+        token = pattern.match(html, start)
+        if token is None:
+            pattern = _UNQUOTED
+            token = pattern.match(html, start)
+        if start > at:
+            page.text(html[at:start])
         at = token.end()
         if not token[2]:
             continue
@@ -113,10 +132,10 @@ def blocks(html: str) -> list[tuple[str, int, bool, bool]]:
         if token[1]:
             page.finish(name)
         elif name in RAW:
-            lowered = lowered or html.lower()
             if not token[3].endswith("/"):
-                end = re.compile(rf"</{re.escape(name)}[^>]*>").search(lowered if len(lowered) == len(html) else html, at)
-                at = end.end() if end else len(html)
+                end = re.compile(f"</{re.escape(name)}", re.I).search(html, at)
+                at = html.find(">", end.end()) + 1 if end else 0
+                at = at or len(html)
         elif name == "br":
             page.text(" ")
         else:
@@ -126,24 +145,48 @@ def blocks(html: str) -> list[tuple[str, int, bool, bool]]:
     return page.blocks
 
 
+def _spans(weights: list[int]) -> list[tuple[int, int]]:
+    """(start, end) of the runs of blocks between a surge of the window sums and the next dive."""
+    out: list[tuple[int, int]] = []
+    for i in range(len(weights)):
+        if sum(weights[i : i + WINDOW]) >= SURGE:
+            end = min(i + WINDOW, len(weights))
+            if out and i <= out[-1][1]:
+                out[-1] = (out[-1][0], end)
+            else:
+                out.append((i, end))
+    return out
+
+
+def _at_article(span: tuple[int, int], article: list[bool]) -> tuple[int, int]:
+    """``span`` with its ends moved to those of the article there: in past other blocks, then out over the article's."""
+    start, end = span
+    while start < end and not article[start]:
+        start += 1
+    while end > start and not article[end - 1]:
+        end -= 1
+    if start < end:
+        while start > 0 and article[start - 1]:
+            start -= 1
+        while end < len(article) and article[end]:
+            end += 1
+    return start, end
+
+
 def main_text(html: str | None) -> str:
-    """The main text of one page; empty for null, for no text, and where nothing but asides is found."""
+    """The main text of one page; empty for null, for no text, and where nothing but asides is found.
+
+    Where no window surges, the whole page is the span.
+    """
     found = [b for b in blocks(html or "") if not b[2]]
-    inside = sum(len(b[0]) for b in found if b[3])
-    only_article = inside > 0 and inside >= ARTICLE_SHARE * sum(len(b[0]) for b in found)
-    weights = []
-    for text, linked, _, article in found:
-        if article:
-            weights.append(max(len(text), SURGE))
-        else:
-            weights.append(0 if only_article else max(0, len(text) - 2 * linked))
-    keep = set()
-    for i in range(len(found)):
-        if sum(weights[i : i + WINDOW]) >= SURGE:
-            keep.update(range(i, min(i + WINDOW, len(found))))
-    if not keep:
-        keep = set(range(len(found)))
-    return "\n".join(found[i][0] for i in sorted(keep) if weights[i] > 0)
+    weights = [max(0, len(text) - 2 * linked) for text, linked, _, _ in found]
+    article = [b[3] for b in found]
+    spans = _spans(weights) or [(0, len(found))]
+    sizes = [(sum(len(found[i][0]) for i in range(*s) if article[i]), sum(len(found[i][0]) for i in range(*s))) for s in spans]
+    if 0 < sum(s[0] for s in sizes) >= ARTICLE_SHARE * sum(s[1] for s in sizes):
+        spans = [_at_article(s, article) for s in spans]
+    keep = {i for s in spans for i in range(*s) if article[i] or weights[i] > 0}
+    return "\n".join(found[i][0] for i in sorted(keep))
 
 
 @F.pandas_udf(T.StringType())

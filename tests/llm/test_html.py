@@ -1,5 +1,7 @@
 """Main text of pages: by hand, and against the article of the given pages as the standard parser reads it."""
 
+import re
+import time
 from html.parser import HTMLParser
 
 from cartsight.llm import html
@@ -64,6 +66,39 @@ def test_given_pages(spark):
         assert got[r["page_id"]] == (text, len(text))
 
 
+def test_given_pages_without_article_tags(spark):
+    """The distribution alone finds the blocks of the article: it decides, the tags move the ends."""
+    hits = wrong = missed = same = 0
+    pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet").collect()
+    for r in pages:
+        whole = html.main_text(r["html"]).split("\n")
+        bare = html.main_text(re.sub(r"</?(?:article|main)\b[^>]*>", "", r["html"])).split("\n")
+        both = sum(b in whole for b in bare)
+        hits, wrong, missed, same = hits + both, wrong + len(bare) - both, missed + sum(b not in bare for b in whole), same + (whole == bare)
+    assert hits / (hits + wrong) >= 0.99 and hits / (hits + missed) >= 0.99 and same >= 0.9 * len(pages)
+
+
+def test_text_beside_the_article():
+    """A teaser in an article element does not replace the text that the distribution finds."""
+    page = f"<body><article><p>Teaser</p></article><nav>x</nav><div><p>{PARAGRAPH}</p><p>{PARAGRAPH}</p></div></body>"
+    assert html.main_text(page).endswith(f"{PARAGRAPH}\n{PARAGRAPH}")
+    page = f"<body><div>{PARAGRAPH}</div><article><p>{PARAGRAPH}</p><p>End</p></article><div>Beside</div></body>"
+    assert html.main_text(page) == f"{PARAGRAPH}\nEnd"
+
+
+def test_long_odd_pages_take_linear_time():
+    """A megabyte that never closes what it opens."""
+    began = time.process_time()
+    for part in ('<a "', "<a '\"", "<!", "<", "</script", "<script>", "<p", "<div>", "</p>", "<a href=\">"):
+        html.main_text("<div>" + part * (1_000_000 // len(part)))
+        html.main_text("<script>" + part * (1_000_000 // len(part)) + ">")
+    assert time.process_time() - began < 60
+
+
+def test_unclosed_quotes():
+    assert html.main_text('<p title="a>b">one</p><p title="x>two</p>') == "one\ntwo"
+
+
 def test_extract_edges(spark):
     pages = spark.createDataFrame([(1, "u", None, 5), (None, None, "<p>x</p>", 5), (None, None, "<p>x</p>", 5)], "page_id int, url string, html string, n_chars int")
     rows = html.extract(pages).collect()
