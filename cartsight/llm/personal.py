@@ -17,16 +17,17 @@ from pyspark.sql import types as T
 
 from cartsight.llm.common import stored, text_key
 
-# The base kinds in the order of the spans; ``context`` is what the method adds.
+# The base kinds in the order of the spans; ``context`` is what the method adds.  A match takes whole runs of
+# digits, so an address starts where a run does: no run is tried from its middle, and a long one costs its length once.
 KINDS = ("email", "ip", "card", "phone", "context")
 PATTERNS = {
     "email": re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+"),
-    "ip": re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)"),
+    "ip": re.compile(r"(?<![0-9])[0-9]++(\.[0-9]++)(\.[0-9]++)(\.[0-9]++)"),
     "card": re.compile(r"[0-9]([\x20-]?[0-9])+"),
     "phone": re.compile(r"\+[0-9][\x20().0-9-]+[0-9]"),
 }
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
-_INSTANCE = re.compile(r"[^\x20\x09-\x0D]*[0-9][^\x20\x09-\x0D]*")
+_INSTANCE = re.compile(r"(?<![^\x20\x09-\x0D])[^\x20\x09-\x0D0-9]*+[0-9][^\x20\x09-\x0D]*+")
 _WORD = re.compile(r"[^\x20\x09-\x0D]+")
 #: Rounds of scoring; different seed values a pattern needs; the trust from which patterns and instances count.
 ROUNDS = 3
@@ -34,6 +35,8 @@ SUPPORT = 5
 TRUST = 0.8
 #: Digits of an identifier, at least.
 DIGITS = 5
+#: Characters before an identifier in which its pattern lies.
+REACH = 128
 
 
 def luhn(digits: str) -> bool:
@@ -79,13 +82,13 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 
 
 def _context(text: str, start: int) -> str:
-    """The two words before ``start``, in lower case, digits as 0: what is specific to one instance does not count."""
-    reach = start
-    while True:
-        reach = max(0, reach - 64)
-        words = _WORD.findall(text, reach, start)
-        if reach == 0 or len(words) > 2:
-            return re.sub(r"[0-9]+", "0", " ".join(words[-2:]).lower())
+    """The last two words in the ``REACH`` characters before ``start``, in lower case, digits as 0.
+
+    What is specific to one instance does not count.  A longer word counts by its end, so
+    that text without spaces costs the same for each finding.
+    """
+    words = _WORD.findall(text, max(0, start - REACH), start)
+    return re.sub(r"[0-9]+", "0", " ".join(words[-2:]).lower())
 
 
 def findings(text: str) -> list[tuple[int, int, int, str, str]]:

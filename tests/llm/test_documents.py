@@ -1,7 +1,9 @@
 """Operators on single documents against plain loops over the smallest tables, and on the edge table."""
 
 import hashlib
+import random
 import re
+import time
 from collections import Counter
 
 import pytest
@@ -184,3 +186,54 @@ def test_quality_held_out(spark):
     labels = spark.read.parquet(f"{folder}/labels.parquet")
     scored = quality.score(spark.read.parquet(f"{folder}/documents.parquet"), labels).join(labels, "doc_id").where("held_out")
     assert scored.where("predicted = quality").count() >= 0.93 * scored.count()
+
+
+def test_long_texts_without_spaces_take_linear_time():
+    """A megabyte of addresses, digits, dots or letters without a space; what is found does not depend on the length."""
+    began = time.process_time()
+    for part, kind, least in (("a@b.co,", 0, 1), ("7", 4, 0), ("1.", 1, 0), ("a", 4, 0), ("1.2.3.4;", 1, 1), ("+1 23456789)(", 3, 1), ("x1", 4, 0), ("a@", 0, 0)):
+        times = 1_000_000 // len(part)
+        found = [f for f in personal.findings(part * times) if f[0] == kind]
+        assert len(found) >= least * times // 2
+        assert all(len(f[4]) <= personal.REACH for f in found)
+    assert time.process_time() - began < 60
+
+
+def test_personal_context_is_the_end_of_long_words():
+    word = "w" * 500
+    assert personal.findings(f"{word} mail a@b.co")[0][4] == f"{'w' * (personal.REACH - 6)} mail"
+    assert personal.findings("One two 3 reach a@b.co")[0][4] == "0 reach"
+
+
+def plain_graph(edges, seeds, rounds, support, trust):
+    """Trust of patterns after ``rounds``, by loops over the (context, value) pairs."""
+    values = {v: float(v in seeds) for _, v in edges}
+    patterns = {}
+    for _ in range(rounds):
+        patterns = {}
+        for context in {c for c, _ in edges}:
+            own = [values[v] for c, v in edges if c == context]
+            if sum(x >= trust for x in own) >= support and sum(own) / len(own) >= trust:
+                patterns[context] = sum(own) / len(own)
+        new = {}
+        for value in values:
+            doubt = 1.0
+            for c, v in edges:
+                if v == value:
+                    doubt *= max(1 - patterns.get(c, 0.0), 1e-6)
+            new[value] = max(float(value in seeds), 1 - doubt)
+        values = new
+    return patterns
+
+
+def test_pattern_graph(spark):
+    """Trust spreads from seeds over shared values, round by round, as a plain loop spreads it."""
+    rng = random.Random(5)
+    edges = {(f"c{rng.randrange(8)}", f"v{rng.randrange(40)}") for _ in range(150)} | {("c9", f"v{i}") for i in range(30)}
+    seeds = {f"v{i}" for i in range(28)}
+    rows = [(4 if v not in seeds else 0, c, v) for c, v in sorted(edges)] * 2
+    found = spark.createDataFrame(rows, "kind int, context string, value string")
+    for rounds, trust in ((1, 0.8), (3, 0.6), (3, 0.8)):
+        got = {r["context"]: r["trust"] for r in personal.trusted_patterns(found, rounds, 3, trust).collect()}
+        want = plain_graph(edges, seeds, rounds, 3, trust)
+        assert got == pytest.approx(want) and "c9" in got
