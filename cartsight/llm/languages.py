@@ -2,7 +2,7 @@
 
 Each language has a model of the characters of its words, padded at both ends.
 Counts come from all training rows, as Spark aggregates over distinct words; the
-models are sorted arrays of n-gram hashes.  A text gets the language with the
+models are tables, and sorted arrays of n-gram hashes where those may be broadcast.  A text gets the language with the
 lowest cross-entropy per character; texts that even the best model explains much
 worse than it explains its own training texts are rejected.
 """
@@ -17,18 +17,18 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cartsight.llm.common import held_out, stored, text_key, without
+from cartsight.llm.grams import END, ORDER, START, Tables, measured_by_joins, model_tables
 from cartsight.llm.vectors import mix, pieces, powers
 
-ORDER = 4
-#: Cells (n-grams times languages) that the broadcast models may hold; rarer n-grams of the highest order are left out beyond.
-MODEL_CELLS = 40_000_000
+#: Cells (n-grams and contexts times languages) up to which the models are broadcast as arrays; beyond, texts are joined with
+#: the tables.  Both ways use every n-gram and give the same scores.
+PACKED_CELLS = 40_000_000
 #: A text is rejected when its cross-entropy exceeds the median of its language by so many times the training spread.
 SLACK = 5.0
 #: Characters of a text that count as evidence in the score.
 EVIDENCE = 50
 #: Word scores that a task remembers.
 REMEMBERED = 400_000
-START, END = 2, 3
 UNDETERMINED = "und"
 
 
@@ -77,32 +77,6 @@ class Models:
         return np.log(out)
 
 
-def _kneser_ney(codes: np.ndarray, counts: np.ndarray, alphabet: int) -> tuple[list, list, float]:
-    """Per order, (hashes, discounted probabilities) and (context hashes, back-off weights) of one language; and the chance of an unseen character.
-
-    ``codes`` has a row of ``ORDER`` code points per n-gram.  Lower orders count
-    the distinct characters before an n-gram.
-    """
-    tables, contexts, unseen = [], [], 0.0
-    for k in range(ORDER, 0, -1):
-        ones, twos = (counts == 1).sum(), (counts == 2).sum()
-        discount = min(0.95, max(0.1, ones / max(1, ones + 2 * twos)))
-        hashes = _rows_hash(codes)
-        if k == 1:
-            total = counts.sum()
-            unseen = float(discount * len(counts) / total / alphabet)
-            tables.append((hashes, (counts - discount).clip(0) / total))
-            contexts.append((np.zeros(0, np.uint64), np.zeros(0)))
-        else:
-            heads, inverse = np.unique(_rows_hash(codes[:, :-1]), return_inverse=True)
-            totals = np.bincount(inverse, weights=counts)
-            kinds = np.bincount(inverse)
-            tables.append((hashes, (counts - discount).clip(0) / totals[inverse]))
-            contexts.append((heads, discount * kinds / totals))
-            codes, counts = np.unique(codes[:, 1:], axis=0, return_counts=True)
-    return tables[::-1], contexts[::-1], unseen
-
-
 def _rows_hash(codes: np.ndarray) -> np.ndarray:
     out = np.full(len(codes), codes.shape[1], np.uint64)
     for k in range(codes.shape[1]):
@@ -118,42 +92,29 @@ def _merged(parts: list[tuple[np.ndarray, np.ndarray]], missing: float) -> tuple
     return keys, table
 
 
-def gram_counts(training: DataFrame) -> DataFrame:
-    """``lang, gram, n``: all runs of ``ORDER`` characters in the padded words of the training rows (lang, text)."""
-    words = training.select("lang", F.explode(F.split(F.lower("text"), r"[^\p{L}]+")).alias("word")).where("word <> ''")
-    words = words.groupBy("lang", "word").count()
-    padded = F.concat(F.lit(chr(START) * (ORDER - 1)), F.col("word"), F.lit(chr(END)))
-    grams = F.transform(F.sequence(F.lit(1), F.char_length("word") + 1), lambda i: F.substr(padded, i, F.lit(ORDER)))
-    return words.select("lang", "count", F.explode(grams).alias("gram")).groupBy("lang", "gram").agg(F.sum("count").alias("n"))
-
+def pack(tables: Tables) -> Models:
+    """The tables as sorted arrays, every n-gram of them; for tables of a size that may be broadcast."""
+    floors = {r["lang"]: r["value"] for r in tables.floors.collect()}
+    models = Models(sorted(floors), floor=np.array([floors[lang] for lang in sorted(floors)], np.float32))
+    number = {lang: i for i, lang in enumerate(models.languages)}
+    for k in range(1, ORDER + 1):
+        for rows, width, keys, columns, missing in (
+            (tables.chances, k, models.grams, models.chances, 0.0), (tables.weights, k - 1, models.contexts, models.weights, 1.0)
+        ):
+            arrow = rows.where(F.col("k") == k).select("lang", "gram", "value").toArrow()
+            texts = arrow.column("gram").to_pylist()
+            codes = np.frombuffer("".join(texts).encode("utf-32-le"), "<u4").reshape(len(texts), width)
+            owner = np.array([number[lang] for lang in arrow.column("lang").to_pylist()], np.int64)
+            hashes, values = _rows_hash(codes), arrow.column("value").to_numpy()
+            merged, table = _merged([(hashes[owner == i], values[owner == i]) for i in range(len(number))], missing)
+            keys.append(merged)
+            columns.append(table)
+    return models
 
-def fit(training: DataFrame, cells: int = MODEL_CELLS) -> Models:
-    """Models of every language of ``training`` (lang, text).
 
-    The driver sees the n-grams, never more than ``cells`` over all languages:
-    beyond, n-grams seen less than twice, four times, ... are left out.
-    """
-    grams = stored(gram_counts(training), "grams")
-    languages = sorted(r["lang"] for r in grams.select("lang").distinct().collect())
-    least = 1
-    while grams.where(F.col("n") >= least).count() * max(1, len(languages)) > cells:
-        least *= 2
-    rows = grams.where(F.col("n") >= least).toArrow()
-    names = np.array(rows.column("lang").to_pylist(), object)
-    texts = rows.column("gram").to_pylist()
-    codes = np.frombuffer("".join(texts).encode("utf-32-le"), "<u4").reshape(len(texts), ORDER) if texts else np.zeros((0, ORDER), np.uint32)
-    counts = rows.column("n").to_numpy()
-    models = Models(languages)
-    alphabet = len(np.unique(codes)) + 1
-    fitted = [_kneser_ney(codes[names == lang], counts[names == lang], alphabet) for lang in languages]
-    if fitted:
-        models.floor = np.array([f[2] for f in fitted], np.float32)
-        for k in range(ORDER):
-            for keys, tables, part, missing in ((models.grams, models.chances, 0, 0.0), (models.contexts, models.weights, 1, 1.0)):
-                hashes, table = _merged([f[part][k] for f in fitted], missing)
-                keys.append(hashes)
-                tables.append(table)
-    return models
+def cells_of(tables: Tables) -> int:
+    """Cells of the packed models, at most: rows of the tables times languages."""
+    return (tables.chances.count() + tables.weights.count()) * tables.floors.count()
 
 
 _letters: list[np.ndarray] = []
@@ -245,7 +206,7 @@ def _measured(docs: DataFrame, models: Models, keys: list[str]) -> DataFrame:
     return docs.select(*keys, "text").mapInArrow(run, schema)
 
 
-def identify(docs: DataFrame, key: bool = False) -> DataFrame:
+def identify(docs: DataFrame, key: bool = False, packed_cells: int = PACKED_CELLS) -> DataFrame:
     """``doc_id, held_out, lang_pred, score, rejected, entropy`` for every row of ``docs``; with ``key``, also ``text_key``.
 
     Models learn from the rows with a language and an id outside the held-out
@@ -259,14 +220,18 @@ def identify(docs: DataFrame, key: bool = False) -> DataFrame:
     """
     keyed = docs.select("doc_id", "lang", "text", text_key(F.col("text")).alias("text_key"))
     training = keyed.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out(F.col("doc_id")))
-    models = fit(training.select("lang", "text"))
+    tables = model_tables(training.select("lang", "text"))
     columns = ["doc_id", *(["text_key"] if key else [])]
     held = held_out(F.col("doc_id")).alias("held_out")
-    if not models.languages:
+    if tables.floors.isEmpty():
         return keyed.select(
             *columns, held, F.lit(UNDETERMINED).alias("lang_pred"), F.lit(0.0).alias("score"), F.lit(True).alias("rejected"), F.lit(None).cast("double").alias("entropy")
         )
-    measured = stored(_measured(keyed, models, ["doc_id", "lang", "text_key"]), "entropies")
+    kept = ["doc_id", "lang", "text_key"]
+    if cells_of(tables) <= packed_cells:
+        measured = stored(_measured(keyed, pack(tables), kept), "entropies")
+    else:
+        measured = stored(measured_by_joins(keyed, tables, kept, EVIDENCE), "entropies")
     own = measured.where((F.col("best") == F.col("lang")) & ~held_out(F.col("doc_id")))
     middle = stored(own.groupBy("best").agg(F.percentile_approx("entropy", 0.5).alias("middle")), "middles")
     off = own.join(middle, "best").select("best", F.abs(F.col("entropy") - F.col("middle")).alias("off"), "characters")
@@ -282,6 +247,10 @@ def identify(docs: DataFrame, key: bool = False) -> DataFrame:
 
 
 def known_language(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that :func:`identify` does not reject, with their columns as they are."""
+    """The rows of ``docs`` that :func:`identify` does not reject, with their columns as they are.
+
+    Null texts and texts without a letter are rejected.  Equal texts are judged
+    alike, and repeated rows stay as often as they are.  No rows give no rows.
+    """
     rejected = identify(docs, key=True).where("rejected").select("text_key")
     return without(docs, stored(rejected, "rejected"))

@@ -1,14 +1,16 @@
 """Operators on single documents against plain loops over the smallest tables, and on the edge table."""
 
 import hashlib
+import math
 import random
 import re
 import time
 from collections import Counter
 
+import numpy as np
 import pytest
 
-from cartsight.llm import languages, outliers, personal, quality, secrets
+from cartsight.llm import grams, languages, outliers, personal, quality, secrets
 from cartsight.llm.stats import statistics
 
 SPACE = r"[^\x20\x09-\x0D]+"
@@ -162,16 +164,73 @@ def test_language_rejection(spark, sample):
 
 
 def test_models_sum_to_one(spark):
-    import numpy as np
-
     docs = spark.createDataFrame([("x", "abba baab abab"), ("y", "cab bac")], "lang string, text string")
-    models = languages.fit(docs)
-    letters = [ord(c) for c in "abc"] + [languages.END]
-    start = [languages.START] * 2
+    models = languages.pack(grams.model_tables(docs))
+    letters = [ord(c) for c in "abc"] + [grams.END]
+    start = [grams.START] * 2
     chances = sum(np.exp(models.log_chances(np.array([*start, ord("a"), c], np.uint32)))[0] for c in letters)
     assert models.languages == ["x", "y"] and (chances <= 1.0001).all() and (chances > 0.8).all()
 
 
+def plain_kneser_ney(texts):
+    """P(character after three) of one language, by loops: highest order from counts, lower ones from distinct predecessors."""
+    top = Counter()
+    for word in re.findall(r"[^\W\d_]+", texts.lower()):
+        padded = chr(grams.START) * 3 + word + chr(grams.END)
+        top.update(padded[i : i + 4] for i in range(len(padded) - 3))
+    levels = {4: top}
+    for k in (3, 2, 1):
+        levels[k] = Counter(gram[1:] for gram in levels[k + 1])
+    discounts = {}
+    for k, level in levels.items():
+        ones, twos = (sum(n == x for n in level.values()) for x in (1, 2))
+        discounts[k] = min(0.95, max(0.1, ones / max(1, ones + 2 * twos)))
+
+    def chance(gram, alphabet):
+        total = sum(levels[1].values())
+        p = discounts[1] * len(levels[1]) / total / alphabet
+        p += max(levels[1][gram[-1]] - discounts[1], 0) / total
+        for k in (2, 3, 4):
+            head = gram[4 - k : -1]
+            own = {g: n for g, n in levels[k].items() if g[:-1] == head}
+            if own:
+                total = sum(own.values())
+                p = max(own.get(gram[4 - k :], 0) - discounts[k], 0) / total + discounts[k] * len(own) / total * p
+        return p
+
+    return chance, set(levels[1])
+
+
+def test_kneser_ney(spark):
+    """Tables, joins and packed arrays give the probabilities of the plain model, for seen and unseen n-grams."""
+    texts = {"x": "abba baab abab cabbage \u00e9t\u00e9 and bandana", "y": "cab bac \u6f22\u5b57 bandage, cabin \U00020000\U00020001"}
+    docs = spark.createDataFrame(list(texts.items()), "lang string, text string")
+    plain = {lang: plain_kneser_ney(text) for lang, text in texts.items()}
+    alphabet = len(plain["x"][1] | plain["y"][1]) + 2
+    rng = random.Random(3)
+    wanted = [r["gram"] for r in grams.gram_counts(docs).select("gram").distinct().collect()] + ["".join(rng.choices("abcdn\u00e9q", k=4)) for _ in range(60)]
+    tables = grams.model_tables(docs)
+    got = grams.gram_scores(spark.createDataFrame([(g,) for g in set(wanted)], "gram string"), tables).collect()
+    models = languages.pack(tables)
+    assert len(got) == 2 * len(set(wanted))
+    for r in got:
+        chance = plain[r["lang"]][0](r["gram"], alphabet)
+        assert math.exp(r["score"]) == pytest.approx(chance, rel=1e-9)
+        packed = models.log_chances(np.array([ord(c) for c in r["gram"]], np.uint32))[0][models.languages.index(r["lang"])]
+        assert math.exp(packed) == pytest.approx(chance, rel=1e-5)
+
+
+def test_languages_by_joins(sample, edge):
+    """Models too large to broadcast give the same languages, scores and rejections."""
+    for docs in (sample, edge):
+        packed, joined = (
+            sorted((tuple(r) for r in languages.identify(docs, packed_cells=c).collect()), key=repr) for c in (languages.PACKED_CELLS, 0)
+        )
+        assert [(*r[:3], r[4]) for r in packed] == [(*r[:3], r[4]) for r in joined]
+        for a, b in zip(packed, joined, strict=True):
+            assert a[3] == pytest.approx(b[3], abs=1e-4) and (a[5] is None) == (b[5] is None) and (a[5] is None or a[5] == pytest.approx(b[5], abs=1e-4))
+
+
 def test_quality(spark, edge, empty):
     labels = spark.createDataFrame([(1, 1, 0), (2, 0, 0), (None, 1, None), (10, None, None), (99, 1, 0)], "doc_id bigint, quality int, toxic int")
     none = labels.limit(0)
