@@ -38,6 +38,8 @@ def parser() -> argparse.ArgumentParser:
         stream.add_argument("--format", default="text")
         stream.add_argument("--every", help="batch interval")
         stream.add_argument("--once", action="store_true", help="stop after the lines that are there")
+        stream.add_argument("--progress", help="table of input rows and times of every batch")
+        stream.add_argument("--batches", type=int, help="stop after so many batches; needs --progress")
     return top
 
 
@@ -49,7 +51,10 @@ def shown(table: DataFrame) -> DataFrame:
 
 
 def main(arguments: Sequence[str] | None = None, spark: SparkSession | None = None) -> None:
-    given = parser().parse_args(arguments)
+    commands = parser()
+    given = commands.parse_args(arguments)
+    if getattr(given, "batches", None) is not None and given.progress is None:
+        commands.error("--batches needs --progress")
     spark = spark or SparkSession.builder.appName(f"cartsight-{given.command}").getOrCreate()
     job = getattr(jobs, given.command.replace("-", "_"))
     options = {k: v for k, v in vars(given).items() if k != "command"}

@@ -4,6 +4,7 @@ from collections.abc import Iterator, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from cartsight.functions import content_key
@@ -12,7 +13,8 @@ from cartsight.schema import KEY, KEYED_SCHEMA, LABEL
 from cartsight.sources import line_stream, read_sessions, read_texts, with_key, write_slices
 from cartsight.storage import kept
 from cartsight.streaming import online as online_jobs
-from cartsight.streaming import online_stream, read_batches, run, tree_stream
+from cartsight.streaming import online_stream, read_batches, run, run_logged, tree_stream
+from cartsight.streaming import progress as progress_jobs
 from cartsight.streaming import tree as tree_jobs
 
 Report = Iterator[tuple[str, DataFrame]]
@@ -82,20 +84,31 @@ def _lines(spark: SparkSession, source: str, fmt: str) -> DataFrame:
     return line_stream(spark, source, fmt)
 
 
+def _wait(spark: SparkSession, query: StreamingQuery, progress: str | None, batches: int | None) -> Report:
+    """Wait until ``query`` ends; with ``progress``, report its batches there, and stop it after so many ``batches``."""
+    if progress is None:
+        run(query)
+        return
+    run_logged(spark, query, progress, None if batches is None else lambda done: done >= batches)
+    yield "Batches", read_batches(spark, progress, progress_jobs.PROGRESS).drop("phase_ms").orderBy("batch_id")
+
+
 def stream_tree(
     spark: SparkSession, source: str, table: str, checkpoint: str, format: str = "text",
-    every: str | None = None, once: bool = False,
+    every: str | None = None, once: bool = False, progress: str | None = None, batches: int | None = None,
 ) -> Report:
     interval = every or tree_jobs.EVERY
-    run(tree_stream(_lines(spark, source, format), table, checkpoint, interval, available_now=once))
+    query = tree_stream(_lines(spark, source, format), table, checkpoint, interval, available_now=once)
+    yield from _wait(spark, query, progress, batches)
     yield "Quality by batch", read_batches(spark, table, tree_jobs.METRICS).orderBy("batch_id")
 
 
 def stream_online(
     spark: SparkSession, source: str, weights: str, table: str, checkpoint: str, format: str = "text",
-    every: str | None = None, once: bool = False,
+    every: str | None = None, once: bool = False, progress: str | None = None, batches: int | None = None,
 ) -> Report:
     interval = every or online_jobs.EVERY
     lines = _lines(spark, source, format)
-    run(online_stream(lines, weights, table, checkpoint, interval, available_now=once))
+    query = online_stream(lines, weights, table, checkpoint, interval, available_now=once)
+    yield from _wait(spark, query, progress, batches)
     yield "Quality by batch", read_batches(spark, table, online_jobs.METRICS).orderBy("batch_id")

@@ -520,6 +520,7 @@ ORACLES["cv_stump_results"] = _with(
 
 _ARRIVAL = f"CAST({_HASH.format('')} % 4 AS BIGINT)"
 ORACLES["stream_batch_log"] = _with(*_S) + f"SELECT {_ARRIVAL} AS batch_id, count(*) AS n_lines FROM sessions GROUP BY ALL"
+ORACLES["stream_batch_progress"] = _with(*_S) + f"SELECT {_ARRIVAL} AS batch_id, count(*) AS n_input FROM sessions GROUP BY ALL"
 ORACLES["stream_tree_guards"] = _with(*_BROKEN, _STREAM) + f"""SELECT batch_id, n_rows, n_clean, CASE WHEN n_rows = 0 THEN 'empty'
     WHEN n_clean < 20 THEN 'too_few_rows' WHEN classes = 1 THEN 'one_class' ELSE 'ok' END AS status
 FROM (SELECT CASE s."Browser" WHEN 13 THEN 0 WHEN 11 THEN 1 WHEN 10 THEN 2 ELSE 3 END::BIGINT AS batch_id, count(t.session_id) AS n_rows,

@@ -19,8 +19,9 @@ from cartsight.sources import (
     write_slices,
 )
 from cartsight.storage import cut_lineage, shared_path
-from cartsight.streaming import batch_files, online_stream, parsed_sink, read_batches, run, tree_stream
+from cartsight.streaming import batch_files, online_stream, parsed_sink, read_batches, run, run_logged, tree_stream
 from cartsight.streaming import online as online_stream_module
+from cartsight.streaming import progress as progress_module
 from cartsight.streaming import tree as tree_stream_module
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -442,7 +443,10 @@ def cv_stump_results(spark, folder):
 FILE_LINES = 1_000_000
 
 
-def _run_arrivals(lines: DataFrame, start: Callable[[DataFrame, str], StreamingQuery], arrival: Column | None = None) -> str:
+def _run_arrivals(
+    lines: DataFrame, start: Callable[[DataFrame, str], StreamingQuery], arrival: Column | None = None,
+    wait: Callable[[StreamingQuery], bool] = run,
+) -> str:
     """Let the lines arrive in ``STREAM_BATCHES`` parts, chosen by key, and run one query over them: a part is a micro-batch.
 
     The lines are computed once.  Every part is the same number of files, and
@@ -457,7 +461,7 @@ def _run_arrivals(lines: DataFrame, start: Callable[[DataFrame, str], StreamingQ
     files = min(-(-max(sizes, default=1) // FILE_LINES), min(sizes, default=1))
     for i in range(STREAM_BATCHES):
         held.where(F.col("arrival") == i).select("value").repartition(files).write.mode("append").text(path)
-    run(start(line_stream(spark, path, maxFilesPerTrigger=files), state))
+    wait(start(line_stream(spark, path, maxFilesPerTrigger=files), state))
     return state
 
 
@@ -481,6 +485,17 @@ def stream_batch_log(spark, folder):
     return counted.groupBy("batch_id").agg(F.sum("n").alias("n_lines"))
 
 
+@query
+def stream_batch_progress(spark, folder):
+    """Input rows of every micro-batch, as the query's own events report them."""
+    out, table = shared_path(spark, "parsed"), shared_path(spark, "progress")
+    _run_arrivals(
+        session_lines(shop_sessions(spark, folder)), lambda lines, state: parsed_sink(lines, out, state, available_now=True),
+        wait=lambda stream: run_logged(spark, stream, table),
+    )
+    return read_batches(spark, table, progress_module.PROGRESS).select("batch_id", "n_input")
+
+
 def _tree_metrics(spark: SparkSession, folder: str, **options) -> DataFrame:
     table = shared_path(spark, "tree")
     _run_arrivals(

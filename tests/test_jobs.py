@@ -60,3 +60,9 @@ def test_streams(spark, tmp_path, capsys):
     assert "|0       |ok" in capsys.readouterr().out
     main(["stream-online", lines, str(tmp_path / "w"), str(tmp_path / "o"), str(tmp_path / "s2"), "--once"], spark)
     assert "|0       |ok" in capsys.readouterr().out
+    logged = ["--progress", str(tmp_path / "p"), "--batches", "1", "--every", "1 second"]
+    main(["stream-online", lines, str(tmp_path / "w2"), str(tmp_path / "o2"), str(tmp_path / "s3"), *logged], spark)
+    printed = capsys.readouterr().out
+    assert "\nBatches\n" in printed and printed.count("|0       |") == 2
+    with pytest.raises(SystemExit):
+        main(["stream-tree", lines, "t2", "s4", "--batches", "1"], spark)

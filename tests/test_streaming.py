@@ -14,9 +14,10 @@ from cartsight.plans import QUERIES
 from cartsight.schema import KEY, ONLINE_FEATURES
 from cartsight.sources import line_stream, session_lines, shop_sessions
 from cartsight.streaming import (
-    keyed, online_batch, online_stream, parse_stream, parsed_sink, read_batches, run, tree_batch, tree_stream,
+    keyed, online_batch, online_stream, parse_stream, parsed_sink, read_batches, run, run_logged, tree_batch, tree_stream,
 )
 from cartsight.streaming import online as online_module
+from cartsight.streaming import progress as progress_module
 from cartsight.streaming import tree as tree_module
 
 BATCH = 30  # lines per file
@@ -204,6 +205,45 @@ def test_timed_trigger_and_timeout(spark, folder):
     assert read_batches(spark, table, tree_module.METRICS).count() == 4
 
 
+def test_progress_is_a_table_and_a_stop_falls_between_batches(spark, folder):
+    """A stream on a clock reports its batches, stops when asked, and goes on with the next batch."""
+    out, table, state = str(folder / "out"), str(folder / "progress"), str(folder / "state")
+    query = parsed_sink(lines_of(spark, folder), out, state, every="4 seconds")
+    assert run_logged(spark, query, table, until=lambda n: n >= 2, timeout=120) and not query.isActive
+    rows = read_batches(spark, table, progress_module.PROGRESS).orderBy("batch_id").collect()
+    assert [(r["batch_id"], r["n_input"]) for r in rows] == [(0, BATCH), (1, BATCH)]
+    assert all(r["duration_ms"] >= r["phase_ms"]["addBatch"] >= 0 and r["run_id"] == str(query.runId) for r in rows)
+    assert rows[0]["started"] < rows[1]["started"] and spark.read.parquet(out).count() == 2 * BATCH
+
+    query = parsed_sink(lines_of(spark, folder), out, state, available_now=True)
+    assert run_logged(spark, query, table)
+    rows = read_batches(spark, table, progress_module.PROGRESS).orderBy("batch_id").collect()
+    assert [(r["batch_id"], r["n_input"]) for r in rows] == [(i, BATCH) for i in range(4)]
+    assert len({r["run_id"] for r in rows}) == 2 and spark.read.parquet(out).count() == 4 * BATCH
+
+
+def test_progress_of_a_query_that_fails_or_goes_on(spark, folder):
+    table = str(folder / "progress")
+
+    def fail(batch, batch_id):
+        if batch_id == 1:
+            raise RuntimeError("second batch")
+        batch.count()
+
+    def started(handle, state, **trigger):
+        writer = lines_of(spark, folder).writeStream.foreachBatch(handle).option("checkpointLocation", str(folder / state))
+        return writer.trigger(**trigger).start()
+
+    with pytest.raises(Exception, match="second batch"):
+        run_logged(spark, started(fail, "failing", availableNow=True), table)
+    assert [r["batch_id"] for r in read_batches(spark, table, progress_module.PROGRESS).collect()] == [0]
+    query = started(lambda batch, batch_id: None, "going", processingTime="1 second")
+    try:
+        assert not run_logged(spark, query, table, timeout=1) and query.isActive
+    finally:
+        query.stop()
+
+
 def test_old_weights_are_refused(spark, tmp_path, texts):
     weights, table = str(tmp_path / "weights"), str(tmp_path / "online")
     rows = online_features(frame(spark, texts[:40]))
