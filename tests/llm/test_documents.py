@@ -240,6 +240,36 @@ def test_quality(spark, edge, empty):
     assert len(scored) == edge.count() and all(0 <= r["score"] <= 1 and r["predicted"] == (r["score"] >= 0.7) for r in scored)
 
 
+def test_quality_fit_reads_one_row_per_id(spark):
+    """A labelled id repeated thousands of times stands in the fit once, so the bound on ids bounds the rows."""
+    rows = [(1, "good text about rivers and mountains " * 8)] * 3_000 + [(4, "### $$$ %% ###"), (5, "plain words in a row, each of them another"), (6, "|||| ####")]
+    labels = spark.createDataFrame([(1, 1), (4, 0), (5, 1), (6, 0)], "doc_id bigint, quality int")
+    repeated = quality.score(spark.createDataFrame(rows, "doc_id bigint, text string"), labels)
+    single = quality.score(spark.createDataFrame(rows[2_999:], "doc_id bigint, text string"), labels)
+    assert repeated.count() == len(rows)
+    assert {(r["doc_id"], round(r["score"], 9)) for r in repeated.collect()} == {(r["doc_id"], round(r["score"], 9)) for r in single.collect()}
+
+
+def test_preference_fit():
+    """Newton's weights against plain descent on the same drawn pairs, their differences and loss written out."""
+    rng = np.random.default_rng(1)
+    good, bad = rng.normal(0.6, 1, (40, 2)), rng.normal(0, 1, (30, 2))
+    pairs = 400
+    model = quality.fit_pairs(good, bad, pairs, seed=3)
+    draw = np.random.default_rng(3)
+    up, down = draw.integers(0, 40, pairs), draw.integers(0, 30, pairs)
+
+    def steps(row):
+        return [float(value > edge) for value, edges in zip(row, model.edges, strict=True) for edge in edges]
+
+    differences = np.array([[x - y for x, y in zip(steps(good[i]), steps(bad[j]), strict=True)] for i, j in zip(up, down, strict=True)])
+    weights = np.zeros(differences.shape[1])
+    for _ in range(60_000):
+        chance = 1 / (1 + np.exp(-differences @ weights))
+        weights = weights + 0.5 * (differences.T @ (1 - chance) / pairs - quality.RIDGE * weights)
+    assert model.weights == pytest.approx(weights, abs=1e-3)
+
+
 def test_quality_held_out(spark):
     folder = "/root/testdata/sf0.01"
     labels = spark.read.parquet(f"{folder}/labels.parquet")
