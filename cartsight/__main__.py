@@ -40,6 +40,8 @@ def parser() -> argparse.ArgumentParser:
         stream.add_argument("--once", action="store_true", help="stop after the lines that are there")
         stream.add_argument("--progress", help="table of input rows and times of every batch")
         stream.add_argument("--batches", type=int, help="stop after so many batches; needs --progress")
+        if name == "stream-online":
+            stream.add_argument("--fraction", type=float, default=1.0, help="part of a batch that a descent step reads")
     return top
 
 

@@ -106,9 +106,10 @@ def stream_tree(
 def stream_online(
     spark: SparkSession, source: str, weights: str, table: str, checkpoint: str, format: str = "text",
     every: str | None = None, once: bool = False, progress: str | None = None, batches: int | None = None,
+    fraction: float = 1.0,
 ) -> Report:
     interval = every or online_jobs.EVERY
     lines = _lines(spark, source, format)
-    query = online_stream(lines, weights, table, checkpoint, interval, available_now=once)
+    query = online_stream(lines, weights, table, checkpoint, interval, available_now=once, fraction=fraction)
     yield from _wait(spark, query, progress, batches)
     yield "Quality by batch", read_batches(spark, table, online_jobs.METRICS).orderBy("batch_id")

@@ -389,6 +389,7 @@ SELECT round(sum(width * (prec + prec_before) / 2), 6) AS auc_pr FROM steps"""
 ORACLES["sgd_gradient_step"] = _with(*_O) + "SELECT {} FROM online".format(
     _list(f'round(-0.1 * avg((0.5 - label) * "{c}"), 6) AS "{c}"' for c in ONLINE_FEATURES)
 )
+ORACLES["sgd_mini_batch_step"] = ORACLES["sgd_gradient_step"] + f" WHERE {_HASH.format(' + 1')} % 10000 < 2500"
 ORACLES["view_sessions"] = ORACLES["scan_csv_by_header"] = ORACLES["scan_csv_sessions"]
 _PLAIN = (*_O, f"scored AS (SELECT label, round(1 / (1 + exp(-({_MARGIN}))), 12) AS score FROM online)")
 ORACLES["auc_unrounded"] = _with(*_PLAIN) + """, points AS (

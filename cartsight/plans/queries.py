@@ -370,6 +370,11 @@ def sgd_gradient_step(spark, folder):
     return rounded(online.gradient_step(_online(spark, folder)))
 
 
+@query
+def sgd_mini_batch_step(spark, folder):
+    return rounded(online.gradient_step(online.mini_batch(_online(spark, folder), 0.25, step=1)))
+
+
 # Models
 
 

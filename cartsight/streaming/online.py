@@ -47,6 +47,7 @@ def online_batch(
     batch: DataFrame, batch_id: int, weights_table: str, metrics_table: str,
     mode: str = MODES[0], initial: Sequence[float] = ZERO_WEIGHTS,
     step_size: float = STEP_SIZE, steps: int = STEPS, tolerance: float = TOLERANCE, key: str = KEY,
+    fraction: float = 1.0,
 ) -> None:
     """Update the weights on one batch of online features and record its quality.
 
@@ -59,7 +60,7 @@ def online_batch(
     before = weights_before(spark, weights_table, batch_id, initial)
     with kept(batch):
         rows = batch.count()
-        after = descend(batch, before, step_size, steps, tolerance) if rows else before
+        after = descend(batch, before, step_size, steps, tolerance, fraction, key) if rows else before
         if rows:
             scored = score(batch, after if mode == MODES[0] else before)
             first = scored.orderBy(key).limit(PREVIEW)

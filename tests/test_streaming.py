@@ -145,6 +145,27 @@ def test_descent_stops_early(spark, texts):
     assert online.descend(batch.where("false"), two_steps) == two_steps
 
 
+def test_descent_by_mini_batches(spark, texts):
+    """Each step reads its own part, the same in any layout; a step whose part is empty moves nothing."""
+    batch = online_features(frame(spark, texts[:200])).persist()
+    weights = np.zeros(11)
+    for i in (1, 2, 3):
+        y, x = matrix(online.mini_batch(batch, 0.3, i))
+        assert 20 < len(y) < 120
+        errors = 1 / (1 + np.exp(-np.clip(x @ weights, -700, 700))) - y
+        weights = weights - 0.1 / math.sqrt(i) * (errors[:, None] * x).mean(axis=0)
+    args = dict(steps=3, tolerance=0.0, fraction=0.3)
+    assert online.descend(batch, **args) == pytest.approx(list(weights), rel=1e-9)
+    assert online.descend(batch.repartition(7), **args) == pytest.approx(list(weights), rel=1e-9)
+    parts = [{r[0] for r in online.mini_batch(batch, 0.3, i).select(KEY).collect()} for i in (1, 2)]
+    assert parts[0] != parts[1]
+    assert online.descend(batch, [0.5] * 11, fraction=0.00001, steps=2) == (0.5,) * 11
+    for wrong in (0.0, 1.5):
+        with pytest.raises(ValueError, match="fraction"):
+            online.mini_batch(batch, wrong, 1)
+    batch.unpersist()
+
+
 def run_online(spark, folder, **options):
     tables = str(folder / "weights"), str(folder / "online")
     query = online_stream(lines_of(spark, folder), *tables, str(folder / "state"), available_now=True, steps=6, **options)
