@@ -1,7 +1,10 @@
 """The corpus pipeline: each stage takes the documents that its predecessor kept.
 
 A stage is given as (name, function of the session, the documents and the folder
-of the tables).  All but the last return the columns of the documents.
+of the tables).  All but the last return the columns of the documents.  Rows with
+null texts or texts without a letter leave at the first stage; what each stage does
+with ties, repeated rows and short texts is told where its operator is.  An empty
+table stays empty through all of them.
 """
 
 from pyspark.sql import DataFrame, SparkSession
