@@ -100,7 +100,11 @@ def mix(docs: DataFrame, seed: str = "mix") -> DataFrame:
 
 
 def mix_documents(docs: DataFrame, seed: str = "mix") -> DataFrame:
-    """The mix itself: every row of ``docs`` as often as :func:`copies` says, its columns as they are."""
+    """The mix itself: every row of ``docs`` as often as :func:`copies` says, its columns as they are.
+
+    Null and empty texts have no words, so the mix takes none of them.  Each of
+    some repeated rows is counted and drawn for itself.  No rows give no rows.
+    """
     manifest = copies(docs, seed, key=True).where("copies > 0").select("key", F.struct("copies").alias("given"))
     repeated = F.explode(F.array_repeat(F.lit(0), F.col("given.copies").cast("int"))).alias("copy")
     return handed_out(docs, manifest).select("row", repeated).select("row.*")

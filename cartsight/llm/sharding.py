@@ -58,7 +58,11 @@ def place(docs: DataFrame, shards: int = SHARDS, id_column: str = "doc_id", text
 
 
 def shard_documents(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
-    """``docs`` with the columns of :func:`place`, which replace columns of the same names."""
+    """``docs`` with the columns of :func:`place`, which replace columns of the same names.
+
+    Every row is placed once, rows with null or empty texts and each of some
+    repeated rows as well.  No rows give no rows.
+    """
     names = ("size", "text_crc32", "law", "shard", "slot", "grown_shard")
     manifest = place(docs, shards, key=True).select("key", F.struct(*names).alias("given"))
     return handed_out(docs, manifest).select(

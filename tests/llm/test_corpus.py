@@ -423,6 +423,24 @@ def test_answers():
     assert semantic.verdict(needle, answer, half[:-1] + [18, 19])[1] and not semantic.verdict([1, 2], [2], [1, 3, 2])[1]
 
 
+@pytest.mark.parametrize("table", ["edge", "empty"])
+def test_pipeline_edges(spark, request, table):
+    """Nulls, repeated rows, long texts, clashing columns and empty tables pass through every stage."""
+    docs = stored(request.getfixturevalue(table), "documents")
+    columns, before = docs.columns, docs
+    for name, stage in corpus_pipeline.STAGES:
+        after = stored(stage(spark, before, "/root/testdata/sf0.001"), "stage")
+        if name == "shards":
+            assert set(columns) <= set(after.columns) and after.count() == before.count()
+        else:
+            assert after.columns == columns and not after.where("text IS NULL").count()
+        if name != "mix":
+            assert not after.select("doc_id", "text").exceptAll(before.select("doc_id", "text")).count()
+        if table == "empty":
+            assert not after.count()
+        before = after
+
+
 def test_pipeline(spark):
     """Every stage on what its predecessor kept, and its decisions against plain loops."""
     folder = "/root/testdata/sf0.001"
