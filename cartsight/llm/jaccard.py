@@ -167,7 +167,9 @@ def _pairs(left: DataFrame, right: DataFrame, percent: int) -> DataFrame:
         names = ("node", "n", "pos", "label", *(f"k{i}" for i in range(BRIEF)))
         return rows.select("inside", "token", *(F.col(c).alias(f"{x}_{c}") for c in names))
 
-    most = F.least("a_pos", "b_pos") + 1 + F.least(F.col("a_n") - F.col("a_pos") - 1, F.col("b_n") - F.col("b_pos") - 1)
+    # Prefixes have one order: before the first run that two sets share they have none in common, so the bucket of that run bounds
+    # the overlap by what is left of either set from there on.  Their other buckets need not find them.
+    most = F.least(F.col("a_n") - F.col("a_pos"), F.col("b_n") - F.col("b_pos"))
     possible = F.when(F.col("inside"), F.least("a_n", "b_n")).otherwise(most)
     unlike = sum((F.bit_count(F.col(f"a_k{i}").bitwiseXOR(F.col(f"b_k{i}"))) for i in range(BRIEF)), F.lit(0))
     alike = F.coalesce(_enough((F.col("a_n") + F.col("b_n") - unlike) / 2, percent), F.lit(True))

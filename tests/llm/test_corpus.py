@@ -347,6 +347,16 @@ def test_space_from_passages(spark, monkeypatch):
     assert (cosines > 0.999).all() and np.allclose(np.linalg.norm(want, axis=0), np.linalg.norm(got, axis=0), rtol=1e-2)
 
 
+def test_pairs_meet_in_the_bucket_of_their_first_common_run(spark):
+    """A bucket gives a pair only if what is left of both sets from its run on suffices; equal sets of 100 that agree up to there meet earlier."""
+    schema = "inside boolean, token bigint, node bigint, n int, pos int, label bigint, " + ", ".join(f"k{i} bigint" for i in range(jaccard.BRIEF))
+    none = (None,) * jaccard.BRIEF
+    rows = [(False, token, node, 100, pos, node, *none) for token, pos in ((7, 8), (8, 6), (9, 5)) for node in (token * 10, token * 10 + 1)]
+    buckets = spark.createDataFrame(rows + [(True, 1, 5, 100, 0, 5, *none), (True, 1, 6, 100, 0, 6, *none)], schema)
+    found = jaccard._pairs(buckets, buckets, 90).collect()
+    assert {(r["a"], r["b"]) for r in found} == {(90, 91), (5, 6)}
+
+
 def _scan(words, queries):
     """(text, query) of every leak that a plain scan of all windows by common subsequence and answer finds."""
     want, half = set(), semantic.BLOCK // 2
