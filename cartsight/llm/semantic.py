@@ -28,10 +28,12 @@ DIMENSIONS = 64
 EXTRA = 16
 #: Words of the passages that the decomposition is fitted on.
 PASSAGE = 64
-#: Distinct passages of the documents, and of the items, that the decomposition is fitted on, drawn by content; no more are expected.
-SAMPLE = 20_000
-#: Passages in a task of a product.
-TASK_PASSAGES = 10_000
+#: Distinct passages that a task writes for the products, and those that a task holds while it reads texts.
+TASK_PASSAGES = 100_000
+HELD_PASSAGES = 50_000
+#: Passages multiplied at once, and their words that one small product adds.
+TOGETHER_PASSAGES = 20_000
+UNIT = 16
 #: Words whose vectors are gathered at once: they stay in the cache.
 GATHER = 4096
 #: Windows start every so many words; an item is compared with windows of the first size that holds it and half a step more.
@@ -70,20 +72,23 @@ def _passages(texts: Texts) -> np.ndarray:
     return starts
 
 
-def _counted(texts: DataFrame, share: float) -> DataFrame:
-    """Counts of passages over all texts, and a ``share`` of the distinct passages, drawn by their content.
+def _counted(texts: DataFrame) -> DataFrame:
+    """Counts of passages over all texts, and every passage, equal ones that a task holds together once.
 
     ``column, n``: passages that hold a word of the column (column null: all
-    passages), a row per task.  ``key, words``: a drawn passage, its columns as
-    16-bit numbers; equal ones of a task once.
+    passages), a row per task.  ``key, words``: a passage, its columns as 16-bit
+    numbers, and what its content is known by.
     """
     schema = T.StructType([
         T.StructField("column", T.IntegerType()), T.StructField("n", T.LongType()), T.StructField("key", T.LongType()), T.StructField("words", T.BinaryType()),
     ])
-    limit = np.uint64(min(int(share * 2.0**64), 2**64 - 1))
+
+    def written(held: dict[int, bytes]) -> pa.RecordBatch:
+        none = pa.nulls(len(held), pa.int32()), pa.nulls(len(held), pa.int64())
+        return pa.RecordBatch.from_arrays([*none, pa.array([*held], pa.int64()), pa.array([*held.values()], pa.binary())], schema.names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts, total, drawn = np.zeros(COLUMNS, np.int64), 0, {}
+        counts, total, held = np.zeros(COLUMNS, np.int64), 0, {}
         for batch in batches:
             for piece in pieces(batch, "text"):
                 words = Texts(piece.column("text"), lower=True)
@@ -94,47 +99,57 @@ def _counted(texts: DataFrame, share: float) -> DataFrame:
                 total += int(owner[-1]) + 1
                 bounds = np.flatnonzero(np.diff(owner, prepend=-1, append=-1))
                 inside = np.arange(len(owner)) - bounds[owner]
-                keys = mix(np.add.reduceat(mix(words.hash + inside.astype(np.uint64)), bounds[:-1]))
-                for i in np.flatnonzero(keys <= limit):
-                    drawn[int(keys[i].astype(np.int64))] = columns[bounds[i] : bounds[i + 1]].astype(np.uint16).tobytes()
+                keys = mix(np.add.reduceat(mix(words.hash + inside.astype(np.uint64)), bounds[:-1])).view(np.int64)
+                kinds, at = np.unique(keys, return_index=True)
+                small = columns.astype(np.uint16)
+                for key, i in zip(kinds.tolist(), at.tolist()):
+                    if key not in held:
+                        held[key] = small[bounds[i] : bounds[i + 1]].tobytes()
+                if len(held) >= HELD_PASSAGES:
+                    yield written(held)
+                    held = {}
         some = np.flatnonzero(counts)
         yield pa.RecordBatch.from_arrays([
             pa.array([*some, None], pa.int32()), pa.array([*counts[some], total], pa.int64()), pa.nulls(len(some) + 1, pa.int64()), pa.nulls(len(some) + 1, pa.binary()),
         ], schema.names)
-        if drawn:
-            yield pa.RecordBatch.from_arrays([
-                pa.nulls(len(drawn), pa.int32()), pa.nulls(len(drawn), pa.int64()), pa.array([*drawn], pa.int64()), pa.array([*drawn.values()], pa.binary()),
-            ], schema.names)
+        if held:
+            yield written(held)
 
     return texts.select("text").mapInArrow(run, schema)
 
 
-def _sums(values: np.ndarray, index: np.ndarray, first: np.ndarray) -> np.ndarray:
-    """Sums of the rows of ``values`` at ``index``, by runs that start at ``first``, about ``GATHER`` rows at a time."""
-    out = np.zeros((len(first), values.shape[1]), np.float32)
+def _sums(values: np.ndarray, index: np.ndarray, first: np.ndarray, unit: int = 4) -> np.ndarray:
+    """Sums of the rows of ``values`` at ``index``, by runs that start at ``first``: of ``unit`` rows each by small products, then of these."""
+    if not len(first):
+        return np.zeros((0, values.shape[1]), np.float32)
     ends = np.append(first[1:], len(index))
-    run = 0
-    while run < len(first):
-        at = int(first[run])
-        stop = max(run + 1, int(np.searchsorted(ends, at + GATHER, side="right")))
-        if stop == run + 1:
-            for low in range(at, int(ends[run]), GATHER):
-                out[run] += values[index[low : min(low + GATHER, int(ends[run]))]].sum(axis=0)
-        else:
-            out[run:stop] = np.add.reduceat(values[index[at : ends[stop - 1]]], first[run:stop] - at, axis=0)
-        run = stop
-    return out
+    units = -(-(ends - first) // unit)
+    start = np.cumsum(units) - units
+    inside = (np.repeat(first - start * unit, units) + np.arange(units.sum()) * unit)[:, None] + np.arange(unit)
+    counted = (inside < np.repeat(ends, units)[:, None]).astype(values.dtype)[:, None, :]
+    rows = index[np.minimum(inside, len(index) - 1)]
+    parts = np.empty((len(rows), 1, values.shape[1]), values.dtype)
+    step = max(1, GATHER // unit)
+    room = np.empty((step * unit, values.shape[1]), values.dtype)
+    for at in range(0, len(rows), step):
+        own = rows[at : at + step]
+        gathered = np.take(values, own.ravel(), axis=0, out=room[: own.size], mode="clip")
+        np.matmul(counted[at : at + step], gathered.reshape(len(own), unit, -1), out=parts[at : at + step])
+    return np.add.reduceat(parts[:, 0], start, axis=0).astype(np.float32, copy=False)
 
 
 def _add_product(total: np.ndarray, owner: np.ndarray, columns: np.ndarray, idf: np.ndarray, vectors: np.ndarray) -> None:
-    """Adds ``A'(A basis)`` to ``total`` for the unit TF-IDF rows A of some passages; ``vectors`` are the basis times ``idf``."""
-    rows, kinds, counts = _distinct_rows(owner, columns)
-    first = np.flatnonzero(np.diff(owner, prepend=-1))
-    norms = np.sqrt(np.bincount(rows, weights=(counts * idf[kinds]) ** 2))
-    latent = _sums(vectors, columns, first) / np.maximum(norms**2, 1e-24)[:, None].astype(np.float32)
+    """Adds ``A'(A basis)`` to ``total``, but for the weights of its rows, for the unit TF-IDF rows A of some passages; ``vectors`` are the basis times ``idf``."""
     order = np.argsort(columns.astype(np.uint16), kind="stable")
-    found, first = np.unique(columns[order], return_index=True)
-    total[found] += _sums(latent, owner[order], first) * idf[found, None]
+    kinds, rows = columns[order], owner[order]
+    new = np.ones(len(kinds), bool)
+    new[1:] = (kinds[1:] != kinds[:-1]) | (rows[1:] != rows[:-1])
+    first = np.flatnonzero(new)
+    counts = np.diff(np.append(first, len(kinds)))
+    norms = np.bincount(rows[first], weights=(counts * idf[kinds[first]]) ** 2)
+    latent = _sums(vectors, columns, np.flatnonzero(np.diff(owner, prepend=-1)), UNIT) / np.maximum(norms, 1e-24)[:, None].astype(np.float32)
+    first = np.flatnonzero(np.diff(kinds, prepend=-1))
+    total[kinds[first]] += _sums(latent, rows, first, UNIT)
 
 
 def _product(passages: DataFrame, idf: np.ndarray, basis: np.ndarray) -> np.ndarray:
@@ -147,10 +162,12 @@ def _product(passages: DataFrame, idf: np.ndarray, basis: np.ndarray) -> np.ndar
         weights, vectors = carried.value
         total = np.zeros((COLUMNS, width))
         for batch in batches:
-            for at in range(0, batch.num_rows, 2048):
-                rows = [np.frombuffer(row.as_buffer(), np.uint16) for row in batch.column(0)[at : at + 2048]]
-                owner = np.repeat(np.arange(len(rows)), [len(row) for row in rows])
-                _add_product(total, owner, np.concatenate(rows).astype(np.int64), weights, vectors)
+            for at in range(0, batch.num_rows, TOGETHER_PASSAGES):
+                rows = batch.column(0).slice(at, TOGETHER_PASSAGES)
+                ends = np.frombuffer(rows.buffers()[1], np.int32)[rows.offset : rows.offset + len(rows) + 1].astype(np.int64) // 2
+                words = np.frombuffer(rows.buffers()[2], np.uint16)[ends[0] : ends[-1]]
+                _add_product(total, np.repeat(np.arange(len(rows)), np.diff(ends)), words.astype(np.int64), weights, vectors)
+        total *= weights[:, None]
         some = np.flatnonzero(np.abs(total).sum(axis=1))
         for at in range(0, len(some), 4096):
             part = some[at : at + 4096]
@@ -173,34 +190,36 @@ class Space:
     vectors: np.ndarray
 
 
-def _share(texts: DataFrame) -> float:
-    """Part of the passages to draw: a passage takes two bytes a word, but for the last one of its text."""
-    most = texts.agg(F.sum(F.octet_length("text") / F.lit(2 * PASSAGE) + 1).alias("most")).first()["most"]
-    return min(1.0, SAMPLE / max(most or 0.0, 1.0))
+def _distinct(counted: DataFrame) -> DataFrame:
+    """``key, words`` of every distinct passage, about ``TASK_PASSAGES`` in a file, in one order."""
+    written = counted.where("words IS NOT NULL").select("key", "words")
+    tasks = max(1, -(-written.count() // TASK_PASSAGES))
+    return stored(written.repartition(tasks, "key").dropDuplicates(["key"]), "distinct")
 
 
 def fit(docs: DataFrame, items: DataFrame) -> Space:
     """The latent space of ``docs`` and ``items`` (text).
 
     Words are weighted by the passages of all texts that hold them.  The
-    directions are fitted on distinct passages drawn by content, ``SAMPLE`` at most
-    of either table as a rule (all, where there are fewer): randomised range
-    finding with one power step, whose second product also gives the
-    decomposition (Nystroem).  Directions are scaled to equal spread over the
-    passages: else the few that tell languages apart would make all passages of a
-    language alike.  The matrices on the driver have ``COLUMNS`` rows and
-    ``DIMENSIONS + EXTRA`` columns, whatever the input.
+    directions are fitted on all distinct passages: randomised range finding that
+    starts in the range of all passages of the items (of all, where the items have
+    none), since these are what the space is to tell apart; the product with all
+    passages is the power step and gives the decomposition (Nystroem).
+    Directions are scaled to equal spread over the passages: else the few that
+    tell languages apart would make all passages of a language alike.  The
+    matrices on the driver have ``COLUMNS`` rows and ``DIMENSIONS + EXTRA``
+    columns, whatever the input.
     """
-    gathered = stored(_counted(docs, _share(docs)).unionByName(_counted(items, _share(items))), "passages")
+    sought = stored(_counted(items), "passages")
+    gathered = stored(_counted(docs), "passages").unionByName(sought)
     frequencies = gathered.where("n IS NOT NULL").groupBy("column").agg(F.sum("n").alias("n")).toPandas()
     everything = frequencies.loc[frequencies["column"].isna(), "n"].sum()
     known = frequencies.dropna(subset="column")
     idf = np.full(COLUMNS, np.log(1.0 + everything))
     idf[known["column"].to_numpy(np.int64)] = np.log((1.0 + everything) / (1.0 + known["n"].to_numpy(np.float64))) + 1e-3
-    drawn = gathered.where("words IS NOT NULL").dropDuplicates(["key"]).select("key", "words")
-    passages = stored(drawn.repartition(-(-2 * SAMPLE // TASK_PASSAGES), "key").sortWithinPartitions("key"), "drawn")
+    passages, sought = (_distinct(part) for part in (gathered, sought))
     basis = np.random.default_rng(11).standard_normal((COLUMNS, DIMENSIONS + EXTRA))
-    basis = np.linalg.qr(_product(passages, idf, basis) + 1e-9 * basis)[0]
+    basis = np.linalg.qr(_product(passages if sought.isEmpty() else sought, idf, basis) + 1e-9 * basis)[0]
     product = _product(passages, idf, basis)
     inner = basis.T @ product
     values, axes = np.linalg.eigh((inner + inner.T) / 2)

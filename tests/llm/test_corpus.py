@@ -357,6 +357,17 @@ def test_pairs_meet_in_the_bucket_of_their_first_common_run(spark):
     assert {(r["a"], r["b"]) for r in found} == {(90, 91), (5, 6)}
 
 
+def test_space_of_all_distinct_passages(spark, monkeypatch):
+    """The product that gives the directions has every distinct passage of the documents and the items once, however many there are."""
+    docs = spark.createDataFrame([(f"one{i} two{i % 7} three",) for i in range(30_000)] * 2, "text string").repartition(6)
+    items = spark.createDataFrame([(f"item{i} of some words",) for i in range(40)], "text string")
+    seen, product = [], semantic._product
+    monkeypatch.setattr(semantic, "_product", lambda passages, *rest: seen.append(passages.count()) or product(passages, *rest))
+    monkeypatch.setattr(semantic, "HELD_PASSAGES", 1_000)
+    semantic.fit(docs, items)
+    assert seen == [40, 30_040]
+
+
 def _scan(words, queries):
     """(text, query) of every leak that a plain scan of all windows by common subsequence and answer finds."""
     want, half = set(), semantic.BLOCK // 2
