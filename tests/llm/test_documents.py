@@ -9,6 +9,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from cartsight.llm import grams, languages, outliers, personal, quality, secrets
 from cartsight.llm.stats import statistics
@@ -326,3 +327,31 @@ def test_pattern_graph(spark):
         got = {r["context"]: r["trust"] for r in personal.trusted_patterns(found, rounds, 3, trust).collect()}
         want = plain_graph(edges, seeds, rounds, 3, trust)
         assert got == pytest.approx(want) and "c9" in got
+
+
+def test_quality_fit_counts_all_documents_and_pairs(spark):
+    """Edges, weights and threshold of the fit are those of a plain loop over every labelled document and every pair."""
+    draw = random.Random(4)
+    rows, labels = [], []
+    for i in range(260):
+        good = draw.random() < 0.6
+        words = [draw.choice(("river", "stone", "Bird", "a", "of") if good or draw.random() < 0.5 else ("##", "BUY", "a1", "||", "a")) for _ in range(draw.randint(1, 60))]
+        rows.append((i, " ".join(words) + "." * draw.randint(0, 3)))
+        labels.append((i, int(good)))
+    docs, labels = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(5), spark.createDataFrame(labels, "doc_id bigint, quality int")
+    measured = quality.statistics(docs, "doc_id", shares=True)
+    features = measured.select("doc_id", F.array(F.log1p("n_words"), *quality.SHARES).alias("values"))
+    model = quality._learn(features, labels)
+    known = {r["doc_id"]: r["quality"] for r in labels.where(~quality.held_out(F.col("doc_id"))).collect()}
+    values = {r["doc_id"]: np.array(r["values"]) for r in features.collect()}
+    good, bad = (np.array([v for k, v in values.items() if known.get(k) == y]) for y in (1, 0))
+    both = np.vstack([good, bad])
+    want = np.quantile(both, np.arange(1, quality.STEPS + 1) / (quality.STEPS + 1), axis=0, method="lower").T
+    assert np.array_equal(model.edges, want)
+    left, right = model.steps(good), model.steps(bad)
+    chance = 1 / (1 + np.exp(-np.subtract.outer(left @ model.weights, right @ model.weights)))
+    pairs = len(left) * len(right)
+    slope = (left.T @ (1 - chance).sum(axis=1) - right.T @ (1 - chance).sum(axis=0)) / pairs - quality.RIDGE * model.weights
+    assert np.abs(slope).max() < 1e-3
+    scores = np.sort(np.concatenate([left @ model.weights, right @ model.weights]))
+    assert abs((scores <= model.middle).sum() - len(bad)) <= 1
