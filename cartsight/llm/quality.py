@@ -23,8 +23,10 @@ from cartsight.llm.stats import COUNTS, SHARES, statistics
 
 #: Pairs that a fit on few rows at hand draws (:func:`fit_pairs`).
 PAIRS = 40_000
-#: Documents in a block of the fit; points between which the chances of scores are interpolated; cells that divide the scores at the end.
+#: Documents in a block and in a task of the fit.
 BLOCK = 20_000
+TASK_ROWS = 100_000
+#: Points between which the chances of scores are interpolated, and cells that divide the scores at the end.
 POINTS = 1_024
 #: Points at which the curvature takes the scores, and most steps of the fit.
 COARSE = 64
@@ -79,8 +81,11 @@ def fit_pairs(good: np.ndarray, bad: np.ndarray, pairs: int = PAIRS, seed: int =
     return model
 
 
-def _packed(rows: DataFrame) -> DataFrame:
-    """The label and the values of all rows (quality, values) as a stored table, up to ``BLOCK`` documents in a row."""
+def _packed(rows: DataFrame, n: int) -> DataFrame:
+    """The label and the values of all ``n`` rows (quality, values) as a stored table, up to ``BLOCK`` documents in a row.
+
+    A task of the fit sends as many sums whatever its rows, so there are as many tasks as the rows need, not as the shuffle has.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -90,7 +95,8 @@ def _packed(rows: DataFrame) -> DataFrame:
                 values = part.column("values").flatten().to_numpy(zero_copy_only=False)
                 yield pa.RecordBatch.from_arrays([pa.array([np.concatenate([label, values]).tobytes()], pa.binary())], ["block"])
 
-    return stored(rows.select("quality", "values").mapInArrow(run, "block binary"), "quality-values")
+    rows = rows.select("quality", "values").coalesce(max(1, -(-n // TASK_ROWS)))
+    return stored(rows.mapInArrow(run, "block binary"), "quality-values")
 
 
 def _unpacked(block: pa.Buffer) -> tuple[np.ndarray, np.ndarray]:
@@ -277,8 +283,9 @@ def _learn(features: DataFrame, labels: DataFrame) -> Preference | float:
     found = {r["quality"]: r["count"] for r in rows.groupBy("quality").count().collect()}
     if len(found) < 2:
         return counts[1] / (counts[0] + counts[1])
-    packed = _packed(rows)
-    edges = quantiles(packed, found[0] + found[1], STEPS + 1)
+    n = found[0] + found[1]
+    packed = _packed(rows, n)
+    edges = quantiles(packed, n, STEPS + 1)
     pairs = Pairs(_stepped(packed, edges), (found[0], found[1]))
     return pairs.divided(Preference(edges, pairs.fitted(), 0.0, 1.0), counts[0] / (counts[0] + counts[1]))
 
