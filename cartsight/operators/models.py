@@ -6,7 +6,7 @@ from itertools import product
 from multiprocessing.pool import ThreadPool
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import DecisionTreeClassifier
+from pyspark.ml.classification import DecisionTreeClassificationModel, DecisionTreeClassifier
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,7 +16,7 @@ from cartsight.operators.metrics import evaluate, tally
 from cartsight.operators.split import split_train_test, with_fold
 from cartsight.schema import BATCH_NUMERIC, CATEGORICAL, KEY, LABEL, STREAM_NUMERIC
 from cartsight.sources.files import SLICE
-from cartsight.storage import kept
+from cartsight.storage import kept, shared_path
 
 # Tree settings of the three uses.
 BATCH_TREE = {"maxDepth": 10, "minInstancesPerNode": 20}
@@ -98,29 +98,77 @@ def grid_points(grid: dict[str, Sequence[int]] = GRID) -> list[dict[str, int]]:
     return [dict(zip(grid, values)) for values in product(*grid.values())]
 
 
+def _by_depth(points: list[dict[str, int]]) -> list[list[int]]:
+    """The numbers of the points that differ in their depth alone, together."""
+    alike: dict[tuple, list[int]] = {}
+    for i, point in enumerate(points):
+        alike.setdefault(tuple(sorted((k, v) for k, v in point.items() if k != "maxDepth")), []).append(i)
+    return list(alike.values())
+
+
+def _cut_predictions(spark: SparkSession, model: DecisionTreeClassificationModel, depths: Sequence[int]) -> list[list[float]]:
+    """For each of ``depths``, what the tree cut there predicts in each of its leaves, left to right.
+
+    A tree is grown level by level, and a node's split does not depend on how
+    deep the tree may become: the smaller tree is the top of the larger one.
+    Read back from the saved form: as many rows as the tree has nodes.
+    """
+    path = shared_path(spark, "tree-cuts")
+    model.write().save(path)
+    saved = spark.read.schema("id INT, prediction DOUBLE, leftChild INT, rightChild INT").parquet(f"{path}/data")
+    nodes = {r["id"]: r for r in saved.collect()}
+    found: list[list[float]] = [[] for _ in depths]
+
+    def down(node: int, above: list[float]) -> None:
+        r = nodes[node]
+        way = [*above, r["prediction"]]
+        if r["leftChild"] < 0:
+            for values, depth in zip(found, depths):
+                values.append(way[min(depth, len(way) - 1)])
+        else:
+            down(r["leftChild"], way)
+            down(r["rightChild"], way)
+
+    down(0, [])
+    return found
+
+
 def _fold_accuracies(folded: DataFrame, fold: int, points: list[dict[str, int]], pool: ThreadPool, encoding: Pipeline) -> list[float]:
     """Accuracy on one fold of a tree per grid point, grown on the other folds.
 
-    The encoders are fitted once for all points, and one pass scores every tree.
+    The encoders are fitted once for all points.  Of points that differ in
+    their depth alone the deepest tree is grown, and the others are its tops.
+    One pass scores every tree.
     """
     seen, held = folded.where(F.col("fold") != fold), folded.where(F.col("fold") == fold)
     encoding = encoding.fit(seen)
     encoded, scored = (encoding.transform(part).select(LABEL, "features") for part in (seen, held))
+
+    def grown(alike: list[int]) -> tuple[DecisionTreeClassificationModel, list[list[float]]]:
+        depths = [points[i].get("maxDepth", 0) for i in alike]
+        fitted = tree(**points[alike[depths.index(max(depths))]]).fit(encoded)
+        return fitted, _cut_predictions(encoded.sparkSession, fitted, depths) if len(alike) > 1 else []
+
+    groups = _by_depth(points)
     with kept(encoded):
-        trees = pool.map(lambda point: tree(**point).fit(encoded), points, chunksize=1)
-    for i, fitted in enumerate(trees):
-        scored = fitted.setPredictionCol(f"p{i}").setRawPredictionCol("").setProbabilityCol("").transform(scored)
-    hits = (F.avg((F.col(f"p{i}") == F.col(LABEL)).cast("double")) for i in range(len(trees)))
+        trees = pool.map(grown, groups, chunksize=1)
+    hits: list[Column | None] = [None] * len(points)
+    for g, (alike, (fitted, cuts)) in enumerate(zip(groups, trees)):
+        scored = fitted.setPredictionCol(f"p{g}").setLeafCol(f"leaf{g}" if cuts else "").setRawPredictionCol("").setProbabilityCol("").transform(scored)
+        for k, i in enumerate(alike):
+            guess = F.get(F.expr(f"array({', '.join(f'{value}D' for value in cuts[k])})"), F.col(f"leaf{g}").cast("int")) if cuts else F.col(f"p{g}")
+            hits[i] = F.avg((guess == F.col(LABEL)).cast("double")).alias(f"h{i}")
     return list(scored.agg(*hits).first())
 
 
 def cross_validate(
     train: DataFrame, grid: dict[str, Sequence[int]] = GRID, folds: int = FOLDS,
     parallelism: int = PARALLELISM, folds_at_once: int = FOLDS_AT_ONCE, key: str = KEY,
-    numeric: Sequence[str] = BATCH_NUMERIC, categorical: Sequence[str] = CATEGORICAL,
+    numeric: Sequence[str] = BATCH_NUMERIC, categorical: Sequence[str] = CATEGORICAL, hold: bool = True,
 ) -> list[tuple[dict[str, int], float]]:
     """Mean accuracy over the folds for each grid point.
 
+    ``train`` is held meanwhile, unless the caller holds it already.
     ``parallelism`` trees grow at once.  With several ``folds_at_once``, one is
     encoded or scored while the trees of another grow; the encoded rows of each
     are held besides the features.
@@ -128,7 +176,7 @@ def cross_validate(
     points = grid_points(grid)
     encoding = Pipeline(stages=encoding_stages(numeric, categorical, scale=True))
     folded = labelled(with_fold(train, folds, key)).select(LABEL, "fold", *numeric, *categorical)
-    with kept(folded), ThreadPool(parallelism) as growing, ThreadPool(folds_at_once) as under_way:
+    with kept(*[folded] * hold), ThreadPool(parallelism) as growing, ThreadPool(folds_at_once) as under_way:
         if categorical:
             check_labels(folded, categorical)
         by_fold = under_way.map(
@@ -161,23 +209,26 @@ def tree_with(**settings: int) -> Pipeline:
     return Pipeline(stages=[*encoding_stages(BATCH_NUMERIC, scale=True), tree(**settings)])
 
 
-def tuned_tree(train: DataFrame, **options) -> tuple[dict[str, int], PipelineModel]:
+def tuned_tree(train: DataFrame, hold: bool = True, **options) -> tuple[dict[str, int], PipelineModel]:
     """The best settings by cross-validation, and a tree with them fitted on all of ``train``."""
-    best = best_point(cross_validate(train, **options))
-    return best, fit_tree(train, tree_with(**best))
+    best = best_point(cross_validate(train, hold=hold, **options))
+    return best, fit_tree(train, tree_with(**best), hold=hold)
 
 
 def best_model_metrics(features: DataFrame, **options) -> DataFrame:
     """Settings of the tuned tree, its quality on the held-out rows, and the four cells of its confusion matrix."""
-    train, test = split_train_test(features)
-    best, model = tuned_tree(train, **options)
-    settings = {**best, "minInstancesPerNode": model.stages[-1].getMinInstancesPerNode()}
-    named = (F.lit(value).alias(name) for name, value in settings.items())
-    counts = tree_tally(model.transform(test))
-    with kept(counts):
-        cells = {
-            f"label_{label}_as_{guess}": F.coalesce(F.sum(F.when((F.col("label") == label) & (F.col("prediction") == guess), F.col("n"))), F.lit(0))
-            for label in (0, 1) for guess in (0, 1)
-        }
-        found = counts.agg(*(cell.alias(name) for name, cell in cells.items())).first().asDict()
-        return evaluate(counts).select(*named, "*", *(F.lit(n).cast("bigint").alias(name) for name, n in found.items()))
+    asked = (options.get("key", KEY), *options.get("numeric", ()), *options.get("categorical", ()))
+    features = features.select(*dict.fromkeys((KEY, LABEL, *BATCH_NUMERIC, *CATEGORICAL, *asked)))
+    with kept(features):
+        train, test = split_train_test(features)
+        best, model = tuned_tree(train, hold=False, **options)
+        settings = {**best, "minInstancesPerNode": model.stages[-1].getMinInstancesPerNode()}
+        named = (F.lit(value).alias(name) for name, value in settings.items())
+        counts = tree_tally(model.transform(test))
+        with kept(counts):
+            cells = {
+                f"label_{label}_as_{guess}": F.coalesce(F.sum(F.when((F.col("label") == label) & (F.col("prediction") == guess), F.col("n"))), F.lit(0))
+                for label in (0, 1) for guess in (0, 1)
+            }
+            found = counts.agg(*(cell.alias(name) for name, cell in cells.items())).first().asDict()
+            return evaluate(counts).select(*named, "*", *(F.lit(n).cast("bigint").alias(name) for name, n in found.items()))

@@ -100,3 +100,27 @@ def test_slices_and_tuned_model(spark, features):
     best = models.best_model_metrics(features, grid={"maxDepth": (3,), "maxBins": (32,)}, folds=2).first()
     assert (best["maxDepth"], best["maxBins"]) == (3, 32)
     assert not spark.sparkContext._jsc.getPersistentRDDs().size() > 1  # the fixture alone stays
+
+
+def test_depths_of_a_grid_are_read_from_one_tree(features, monkeypatch):
+    """Points that differ in their depth alone grow one tree a fold, and get what trees of their own would give."""
+    train, _ = split.split_train_test(features)
+    alone = [models.cross_validate(train, {"maxDepth": (depth,), "maxBins": (bins,)}, folds=2)[0][1] for depth in (1, 3, 8) for bins in (8, 32)]
+    grown, tree = [], models.tree
+    monkeypatch.setattr(models, "tree", lambda **settings: grown.append(settings) or tree(**settings))
+    together = models.cross_validate(train, {"maxDepth": (1, 3, 8), "maxBins": (8, 32)}, folds=2)
+    assert [accuracy for _, accuracy in together] == alone
+    assert [point["maxDepth"] for point, _ in together] == [1, 1, 3, 3, 8, 8]
+    assert sorted((s["maxDepth"], s["maxBins"]) for s in grown) == [(8, 8), (8, 8), (8, 32), (8, 32)]
+
+
+def test_tuned_model_computes_its_features_once(spark, features):
+    rows, seen = features.count(), spark.sparkContext.accumulator(0)
+
+    def counted(label):
+        seen.add(1)
+        return label
+
+    traced = features.withColumn("VisitorType", F.udf(counted, "string")("VisitorType"))
+    models.best_model_metrics(traced, grid={"maxDepth": (2, 3), "maxBins": (32,)}, folds=2).first()
+    assert rows <= seen.value < 2 * rows
