@@ -33,8 +33,9 @@ RIDGE = 1.0
 STEPS = 60
 #: A document counts as toxic, and a sentence as offending, from this chance on.
 TOXIC = 0.3
-#: What a sentence without features, and a document without sentences, start from.
-START = (-7.0, -3.0)
+#: What a sentence without features, and a document without sentences, start from; and each feature, which was chosen for the label 1:
+#: from weights of 0 the descent can end where strays explain every label and no feature has a weight.
+START, FEATURE_START = (-7.0, -3.0), 1.0
 
 _IN_WORD = np.zeros(256, bool)
 _IN_WORD[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256), 39]] = True
@@ -284,7 +285,7 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = LABELLED) -> NoisyOr
         found[1:-2] += RIDGE * weights[:-2]
         return found[0], found[1:]
 
-    weights = minimised(value, np.concatenate([np.zeros(size), START]))
+    weights = minimised(value, np.concatenate([np.full(size, FEATURE_START), START]))
     return NoisyOr(words, weights[:-2], float(weights[-2]), float(weights[-1]))
 
 

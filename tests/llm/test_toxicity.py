@@ -125,6 +125,20 @@ def test_scores_by_a_plain_loop(spark):
         assert math.isclose(r["score"], 1 - clean, rel_tol=1e-9)
 
 
+def test_few_toxic_sentences_in_long_documents(spark):
+    draw = random.Random(4)
+    words = [f"{a}{b}" for a in ("ka", "lo", "mi", "nu", "pe", "ri") for b in ("da", "fe", "go", "hu", "ja", "sto")]
+    docs, toxic = [], [i % 10 == 0 for i in range(1200)]
+    for i, is_toxic in enumerate(toxic):
+        sentences = [" ".join(draw.choices(words, k=8)) for _ in range(draw.randint(30, 60))]
+        if is_toxic:
+            sentences[draw.randrange(len(sentences))] += " " + draw.choice(["blarg", "snork", "vexling", "grub", "wotz", "zilch"])
+        docs.append((i, ". ".join(sentences) + "."))
+    labels = spark.createDataFrame([(i, 1, int(t)) for i, t in enumerate(toxic)], LABELS)
+    rows = toxicity.score(spark.createDataFrame(docs, "doc_id bigint, text string"), labels).where("held_out").collect()
+    assert np.mean([r["predicted"] == toxic[r["doc_id"]] for r in rows]) > 0.99  # 0.9 where strays explain all labels
+
+
 def test_labels_of_held_out_documents_are_not_read(spark, scored):
     docs, labels, _, rows = scored
     turned = labels.withColumn("toxic", F.when(F.crc32(F.col("doc_id").cast("string")) % 4 == 2, 1 - F.col("toxic")).otherwise(F.col("toxic")))
