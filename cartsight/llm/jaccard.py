@@ -34,8 +34,10 @@ LEAST_FREQUENT = 8
 SMALL = 32
 #: Bytes of text that a task turns into sets at once.
 PIECE = 1 << 18
-#: Words of the short sketch that travels with a bucket's rows.
+#: Words of the short sketch that travels with a bucket's rows, and its cells for each element in which two sets that are linked may differ:
+#: larger sets have a wide sketch besides, since in the short one all of them look alike.
 BRIEF = 4
+CELLS = 4
 #: Keys of texts that are broadcast, at most (about 16 MB); beyond, the join is left to the engine.
 BROADCAST_ROWS = 250_000
 
@@ -83,13 +85,23 @@ def parity_sketch(tokens: np.ndarray) -> np.ndarray:
     return np.packbits((counts & 1).astype(np.uint8), bitorder="little").view(np.int64)
 
 
+def wide_sketch(sketch: np.ndarray, n: int, percent: int) -> np.ndarray | None:
+    """The sketch of a set of ``n``, folded as far as it still tells sets apart; None where the short one does."""
+    least = CELLS * 2 * n * (100 - percent) / (100 + percent) / 64
+    while len(sketch) > BRIEF and len(sketch) // 2 >= least:
+        half = len(sketch) // 2
+        sketch = sketch[:half] ^ sketch[half:]
+    return sketch if len(sketch) > BRIEF else None
+
+
 def _set_rows(keyed: DataFrame, size: int, percent: int) -> DataFrame:
-    """``doc_id, text_key, n, s1, s2, prefix, sketch, brief`` for every row: size and signature of its set, the prefix, and parity sketches."""
+    """``doc_id, text_key, n, s1, s2, prefix, sketch, brief, wide`` for every row: size and signature of its set, the prefix, and parity sketches."""
     frequent = keyed.sparkSession.sparkContext.broadcast(_frequent(keyed, size))
     longs = T.ArrayType(T.LongType())
     schema = T.StructType([
         keyed.schema["doc_id"], keyed.schema["text_key"], T.StructField("n", T.LongType()), T.StructField("s1", T.LongType()),
         T.StructField("s2", T.LongType()), T.StructField("prefix", longs), T.StructField("sketch", longs), T.StructField("brief", longs),
+        T.StructField("wide", longs),
     ])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -117,6 +129,7 @@ def _set_rows(keyed: DataFrame, size: int, percent: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([
                     piece.column("doc_id"), piece.column("text_key"), pa.array(counts), pa.array(signs[0]), pa.array(signs[1]), _lists(prefixes), _lists(sketches),
                     _lists([np.bitwise_xor.reduce(s.reshape(-1, BRIEF), axis=0) if len(s) else s for s in sketches]),
+                    pa.array([wide_sketch(s, len(own), percent) for s, own in zip(sketches, sets)], pa.list_(pa.int64())),
                 ], schema.names)
 
     return keyed.select("doc_id", "text_key", "text").mapInArrow(run, schema)
@@ -137,8 +150,10 @@ def _grouped(classes: DataFrame) -> tuple[DataFrame, DataFrame]:
 def _buckets(classes: DataFrame, groups: DataFrame) -> DataFrame:
     """Groups that share a run of their prefixes, and classes that share a group.
 
-    ``inside, token, node, n, pos, m, first`` and the words of the short sketch,
-    which are null for a group of several classes.
+    ``inside, token, node, n, pos, m, first``, the words of the short sketch and
+    ``wide``, which are null for a group of several classes.  Runs that the same nodes share
+    are one bucket: ``token`` tells its members, and ``pos`` is the place of the
+    first of these runs, which is the same run for all of them.
     """
     named = classes.join(groups.select("cid", "gid"), "cid", "left").where("gid IS NULL OR gid = cid")
     tokens = named.select(
@@ -149,10 +164,13 @@ def _buckets(classes: DataFrame, groups: DataFrame) -> DataFrame:
         F.lit(True).alias("inside"), F.col("gid").alias("token"), F.col("cid").alias("node"), F.col("n").cast("int").alias("n"),
         F.lit(False).alias("many"), F.lit(0).alias("pos"),
     ))
-    shared = rows.groupBy("inside", "token").agg(F.count(F.lit(1)).alias("m"), F.min("node").alias("first")).where("m > 1")
-    rows = stored(rows.join(shared, ["inside", "token"]), "shared")
+    members = F.bit_xor(F.xxhash64("node")).alias("members")  # equal by chance: one bucket of more nodes, in which no pair is missing
+    shared = rows.groupBy("inside", "token").agg(F.count(F.lit(1)).alias("m"), F.min("node").alias("first"), members).where("m > 1")
+    rows = rows.join(shared, ["inside", "token"]).groupBy("inside", F.col("members").alias("token"), "node", "n", "many", "m", "first")
+    rows = stored(rows.agg(F.min("pos").alias("pos")), "shared")
     brief = {f"k{i}": F.when(~F.col("many"), F.get("brief", F.lit(i))) for i in range(BRIEF)}
-    sketched = rows.join(classes.select(F.col("cid").alias("node"), "brief"), "node").withColumns(brief)
+    brief["wide"] = F.when(~F.col("many"), F.col("wide"))
+    sketched = rows.join(classes.select(F.col("cid").alias("node"), "brief", "wide"), "node").withColumns(brief)
     return stored(sketched.drop("brief", "many"), "buckets")
 
 
@@ -160,11 +178,16 @@ def _enough(overlap: Column, percent: int) -> Column:
     return overlap * (100 + percent) >= percent * (F.col("a_n") + F.col("b_n"))
 
 
-def _pairs(left: DataFrame, right: DataFrame, percent: int) -> DataFrame:
-    """``inside, a, b`` of bucket members with different labels that size, position and short sketch do not rule out, once each."""
+def _pairs(left: DataFrame, right: DataFrame, percent: int, drawn: Column | None = None) -> DataFrame:
+    """``inside, a, b`` of bucket members with different labels that size, position and sketches do not rule out, once each.
+
+    ``drawn`` tells which rows of ``right`` are in ``left`` too: two of these meet once.  Without a column ``wide`` the short sketch decides.
+    """
+    left, right = left.withColumn("drawn", F.lit(True)), right.withColumn("drawn", F.lit(False) if drawn is None else drawn)
 
     def side(rows: DataFrame, x: str) -> DataFrame:
-        names = ("node", "n", "pos", "label", *(f"k{i}" for i in range(BRIEF)))
+        rows = rows if "wide" in rows.columns else rows.withColumn("wide", F.lit(None).cast("array<bigint>"))
+        names = ("node", "n", "pos", "label", "drawn", "wide", *(f"k{i}" for i in range(BRIEF)))
         return rows.select("inside", "token", *(F.col(c).alias(f"{x}_{c}") for c in names))
 
     # Prefixes have one order: before the first run that two sets share they have none in common, so the bucket of that run bounds
@@ -173,8 +196,10 @@ def _pairs(left: DataFrame, right: DataFrame, percent: int) -> DataFrame:
     possible = F.when(F.col("inside"), F.least("a_n", "b_n")).otherwise(most)
     unlike = sum((F.bit_count(F.col(f"a_k{i}").bitwiseXOR(F.col(f"b_k{i}"))) for i in range(BRIEF)), F.lit(0))
     alike = F.coalesce(_enough((F.col("a_n") + F.col("b_n") - unlike) / 2, percent), F.lit(True))
+    wide = F.coalesce(_enough((F.col("a_n") + F.col("b_n") - _unlike("a_wide", "b_wide")) / 2, percent), F.lit(True))
     met = side(left, "a").join(side(right, "b"), ["inside", "token"])
-    met = met.where((F.col("a_label") != F.col("b_label")) & _enough(possible, percent) & alike)
+    met = met.where(F.col("a_label") != F.col("b_label")).where((F.col("a_node") < F.col("b_node")) | ~F.col("b_drawn"))
+    met = met.where(F.when(_enough(possible, percent) & alike, wide).otherwise(False))
     return met.select("inside", F.least("a_node", "b_node").alias("a"), F.greatest("a_node", "b_node").alias("b")).distinct()
 
 
@@ -279,7 +304,8 @@ def _links(keyed: DataFrame, classes: DataFrame, size: int, percent: int) -> Dat
         # What is still not connected: whole buckets up to ``compared`` members, a draw of about so many from larger ones.
         opened = _labelled(opened.where(F.col("m") > compared), groups, stored(_shortcuts(links), "roots"))
         compared = max(SMALL, compared * SMALL)
-        pairs = _pairs(opened.where(chance * F.col("m") < compared), opened, percent)
+        drawn = chance * F.col("m") < compared
+        pairs = _pairs(opened.where(drawn), opened, percent, drawn)
 
 
 def link_documents(docs: DataFrame, size: int = 3, percent: int = 90, key: bool = False) -> DataFrame:
@@ -300,7 +326,7 @@ def _components_of(docs: DataFrame, size: int, percent: int, key: bool) -> DataF
     keyed = docs.select("doc_id", "text").withColumn("text_key", text_key(F.col("text")))
     rows = stored(_set_rows(keyed, size, percent), "prefixes")
     signed = rows.where("n > 0").groupBy("s1", "s2", "n").agg(
-        F.min("doc_id").alias("first_id"), F.min(F.struct("doc_id", "text_key")).alias("rep"), F.first("prefix").alias("prefix"), F.first("sketch").alias("sketch"), F.first("brief").alias("brief")
+        F.min("doc_id").alias("first_id"), F.min(F.struct("doc_id", "text_key")).alias("rep"), F.first("prefix").alias("prefix"), F.first("sketch").alias("sketch"), F.first("brief").alias("brief"), F.first("wide").alias("wide")
     )
     classes = stored(signed.withColumn("cid", F.monotonically_increasing_id()), "classes")
     links = _links(keyed, classes, size, percent)

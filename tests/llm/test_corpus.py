@@ -97,6 +97,38 @@ def test_grouped_prefixes(spark, monkeypatch):
     assert sorted((tuple(r) for r in got.collect()), key=repr) == brute_components(rows, 3, 80)
 
 
+def counted(monkeypatch, name):
+    """Counts of the rows that a step of the join gives, in the order of its calls."""
+    step, made = getattr(jaccard, name), []
+
+    def run(*given):
+        out = step(*given)
+        made.append(out.count())
+        return out
+
+    monkeypatch.setattr(jaccard, name, run)
+    return made
+
+
+def test_runs_of_the_same_texts_are_one_bucket(spark, monkeypatch):
+    made = counted(monkeypatch, "_buckets")
+    words = [f"w{i}" for i in range(600)]
+    rows = [(1, " ".join(words)), (2, " ".join([*words[:-1], "x"])), (3, " ".join([*words[:300], *(f"y{i}" for i in range(300))])), (4, "z")]
+    got = jaccard.link_documents(spark.createDataFrame(rows, "doc_id bigint, text string"))
+    assert sorted((tuple(r) for r in got.collect()), key=repr) == brute_components(rows, 3, 90)
+    assert made[0] <= 7  # the runs of 1 and 2, of 1, 2 and 3, and the two other pairs at most
+
+
+def test_long_texts_that_share_a_passage_are_ruled_out_early(spark, monkeypatch):
+    made = counted(monkeypatch, "_pairs")
+    passage = [f"p{i}" for i in range(400)]
+    rows = [(d, " ".join([*(f"d{d}w{i}" for i in range(2600)), *passage])) for d in range(6)]
+    rows += [(10, rows[0][1] + " x"), (11, rows[1][1] + " y")]
+    got = jaccard.link_documents(spark.createDataFrame(rows, "doc_id bigint, text string"))
+    assert sorted((tuple(r) for r in got.collect()), key=repr) == brute_components(rows, 3, 90)
+    assert sum(made) <= 4
+
+
 def test_parity_sketch_bounds_the_difference():
     draw = np.random.default_rng(1)
     for n, m in ((100, 110), (1000, 1200), (129, 127), (1, 1)):
