@@ -373,7 +373,7 @@ def _by_cosine(latent: np.ndarray, high: np.ndarray, queries: Queries, cosine: f
                 part = blocks[low : low + TOGETHER]
                 windows = (total[np.minimum(part + size, high[part])] - total[part]).astype(np.float32)
                 windows /= np.maximum(np.linalg.norm(windows, axis=1, keepdims=True), 1e-12)
-                column, row = np.nonzero((windows @ queries.vectors[some].T >= least[start : start + TOGETHER]).T)
+                row, column = np.divmod(np.flatnonzero(windows @ queries.vectors[some].T >= least[start : start + TOGETHER]), len(some))
                 pairs.append(column * len(blocks) + row + low)
             column, row = np.divmod(np.sort(np.concatenate(pairs)), len(blocks))
             bounds = np.flatnonzero(np.diff(column, prepend=-1, append=-1))
