@@ -219,12 +219,20 @@ def fit(docs: DataFrame, items: DataFrame) -> Space:
     idf[known["column"].to_numpy(np.int64)] = np.log((1.0 + everything) / (1.0 + known["n"].to_numpy(np.float64))) + 1e-3
     passages, sought = (_distinct(part) for part in (gathered, sought))
     basis = np.random.default_rng(11).standard_normal((COLUMNS, DIMENSIONS + EXTRA))
-    basis = np.linalg.qr(_product(passages if sought.isEmpty() else sought, idf, basis) + 1e-9 * basis)[0]
+    found = _product(passages if sought.isEmpty() else sought, idf, basis)
+    basis *= 1e-9  # in place, here and below: the driver holds few matrices at a time
+    found += basis
+    del basis
+    basis = np.linalg.qr(found)[0]
+    del found
     product = _product(passages, idf, basis)
     inner = basis.T @ product
+    del basis
     values, axes = np.linalg.eigh((inner + inner.T) / 2)
     kept = values > 1e-6 * max(values[-1], 1e-9)
-    axes, strength, _ = np.linalg.svd(product @ (axes[:, kept] / np.sqrt(values[kept])), full_matrices=False)
+    product = product @ (axes[:, kept] / np.sqrt(values[kept]))
+    axes, strength, _ = np.linalg.svd(product, full_matrices=False)
+    del product
     scale = 1 / np.maximum(strength[:DIMENSIONS], 1e-5)
     return Space(idf.astype(np.float32), (idf[:, None] * axes[:, :DIMENSIONS] * scale).astype(np.float32))
 
