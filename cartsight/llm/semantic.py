@@ -135,7 +135,8 @@ def _sums(values: np.ndarray, index: np.ndarray, first: np.ndarray, unit: int =
         own = rows[at : at + step]
         gathered = np.take(values, own.ravel(), axis=0, out=room[: own.size], mode="clip")
         np.matmul(counted[at : at + step], gathered.reshape(len(own), unit, -1), out=parts[at : at + step])
-    return np.add.reduceat(parts[:, 0], start, axis=0).astype(np.float32, copy=False)
+    sums = parts[:, 0] if len(rows) == len(first) else np.add.reduceat(parts[:, 0], start, axis=0)
+    return sums.astype(np.float32, copy=False)
 
 
 def _add_product(total: np.ndarray, owner: np.ndarray, columns: np.ndarray, idf: np.ndarray, vectors: np.ndarray) -> None:
@@ -351,7 +352,8 @@ def _by_words(columns: np.ndarray, block: np.ndarray, low: np.ndarray, high: np.
     """(query, window size, windows that hold one of its rarest words), windows as their first block."""
     if not len(rare.columns):
         return
-    left, right = np.searchsorted(rare.columns, columns), np.searchsorted(rare.columns, columns, side="right")
+    bounds = np.searchsorted(rare.columns, np.arange(COLUMNS + 1))
+    left, right = bounds[columns], bounds[columns + 1]
     hits = np.flatnonzero(right > left)
     many = (right - left)[hits]
     entries = np.repeat(left[hits] - np.append(0, np.cumsum(many)[:-1]), many) + np.arange(many.sum())
@@ -405,7 +407,7 @@ def candidates(texts: Texts, space: Space, queries: Queries, rare: RareWords, co
     first, block = np.flatnonzero(starts), np.cumsum(starts) - 1
     owner = texts.doc[first]
     low_block, high_block = np.searchsorted(owner, owner), np.searchsorted(owner, owner, side="right")
-    latent = _sums(space.vectors, columns, first)
+    latent = _sums(space.vectors, columns, first, BLOCK)
     none = np.full((SIZES[-1] + 1) * BLOCK, COLUMNS, np.uint16)
     padded, margin = np.concatenate([none, columns.astype(np.uint16), none]), len(none) - BLOCK // 2
     views = {size: np.lib.stride_tricks.sliding_window_view(padded, size * BLOCK + BLOCK // 2 * 2) for size in queries.by_size}
