@@ -16,7 +16,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -34,8 +34,8 @@ LEAST_FREQUENT = 8
 SMALL = 32
 #: Bytes of text that a task turns into sets at once.
 PIECE = 1 << 18
-#: Words of the short sketch that travels with a bucket's rows, and its cells for each element in which two sets that are linked may differ:
-#: larger sets have a wide sketch besides, since in the short one all of them look alike.
+#: Words of the short sketch that travels with a bucket's rows.  Larger sets, which all look alike in it, have a wide one besides, with so many cells
+#: for each element in which two sets that are linked may differ: it is looked up for the pairs that are left, once each.
 BRIEF = 4
 CELLS = 4
 #: Keys of texts that are broadcast, at most (about 16 MB); beyond, the join is left to the engine.
@@ -150,57 +150,63 @@ def _grouped(classes: DataFrame) -> tuple[DataFrame, DataFrame]:
 def _buckets(classes: DataFrame, groups: DataFrame) -> DataFrame:
     """Groups that share a run of their prefixes, and classes that share a group.
 
-    ``inside, token, node, n, pos, m, first``, the words of the short sketch and
-    ``wide``, which are null for a group of several classes.  Runs that the same nodes share
+    ``inside, token, node, m, first, pos, prev, n`` and the words of the short sketch,
+    which are null for a group of several classes.  Runs that the same nodes share
     are one bucket: ``token`` tells its members, and ``pos`` is the place of the
-    first of these runs, which is the same run for all of them.
+    first of these runs, which is the same run for all of them.  ``prev`` is the
+    last run before it that the node shares with any other.
     """
-    named = classes.join(groups.select("cid", "gid"), "cid", "left").where("gid IS NULL OR gid = cid")
-    tokens = named.select(
-        F.lit(False).alias("inside"), F.col("cid").alias("node"), F.col("n").cast("int").alias("n"), F.col("gid").isNotNull().alias("many"),
-        F.posexplode("prefix").alias("pos", "token"),
+    named = classes.join(groups.select("cid", "gid"), "cid", "left")
+    nodes = named.select(F.col("cid").alias("node"), F.col("n").cast("int").alias("n"), F.col("gid").isNotNull().alias("many"), "brief")
+    tokens = named.where("gid IS NULL OR gid = cid").select(F.lit(False).alias("inside"), F.col("cid").alias("node"), F.posexplode("prefix").alias("pos", "token"))
+    rows = tokens.select("inside", "token", "node", "pos").unionByName(
+        groups.select(F.lit(True).alias("inside"), F.col("gid").alias("token"), F.col("cid").alias("node"), F.lit(0).alias("pos"))
     )
-    rows = tokens.select("inside", "token", "node", "n", "many", "pos").unionByName(groups.select(
-        F.lit(True).alias("inside"), F.col("gid").alias("token"), F.col("cid").alias("node"), F.col("n").cast("int").alias("n"),
-        F.lit(False).alias("many"), F.lit(0).alias("pos"),
-    ))
-    members = F.bit_xor(F.xxhash64("node")).alias("members")  # equal by chance: one bucket of more nodes, in which no pair is missing
-    shared = rows.groupBy("inside", "token").agg(F.count(F.lit(1)).alias("m"), F.min("node").alias("first"), members).where("m > 1")
-    rows = rows.join(shared, ["inside", "token"]).groupBy("inside", F.col("members").alias("token"), "node", "n", "many", "m", "first")
-    rows = stored(rows.agg(F.min("pos").alias("pos")), "shared")
-    brief = {f"k{i}": F.when(~F.col("many"), F.get("brief", F.lit(i))) for i in range(BRIEF)}
-    brief["wide"] = F.when(~F.col("many"), F.col("wide"))
-    sketched = rows.join(classes.select(F.col("cid").alias("node"), "brief", "wide"), "node").withColumns(brief)
-    return stored(sketched.drop("brief", "many"), "buckets")
+    # The runs of all prefixes are shuffled once, and with no more than this; what few are shared get the rest by their node.
+    same = Window.partitionBy("inside", "token")
+    members = F.bit_xor(F.xxhash64("node")).over(same)  # equal by chance: one bucket of more nodes, in which no pair is missing
+    rows = rows.withColumns({"m": F.count(F.lit(1)).over(same), "first": F.min("node").over(same), "members": members}).where("m > 1")
+    before = F.lag("token").over(Window.partitionBy("node").orderBy("inside", "pos"))
+    rows = rows.withColumn("prev", F.when(~F.col("inside"), before)).groupBy("inside", F.col("members").alias("token"), "node", "m", "first")
+    rows = rows.agg(F.min("pos").alias("pos"), F.min_by("prev", "pos").alias("prev"))
+    brief = {f"k{i}": F.when(F.col("inside") | ~F.col("many"), F.get("brief", F.lit(i))) for i in range(BRIEF)}
+    return stored(rows.join(nodes, "node").withColumns(brief).drop("brief", "many"), "buckets")
 
 
 def _enough(overlap: Column, percent: int) -> Column:
     return overlap * (100 + percent) >= percent * (F.col("a_n") + F.col("b_n"))
 
 
-def _pairs(left: DataFrame, right: DataFrame, percent: int, drawn: Column | None = None) -> DataFrame:
+def _pairs(left: DataFrame, right: DataFrame, percent: int, drawn: Column | None = None, sketches: DataFrame | None = None) -> DataFrame:
     """``inside, a, b`` of bucket members with different labels that size, position and sketches do not rule out, once each.
 
-    ``drawn`` tells which rows of ``right`` are in ``left`` too: two of these meet once.  Without a column ``wide`` the short sketch decides.
+    ``drawn`` tells which rows of ``right`` are in ``left`` too: two of these meet once.  ``sketches`` has ``node, n, wide`` of
+    the nodes with a wide sketch.  With a column ``prev``, two members with the same earlier run are left to an earlier bucket.
     """
     left, right = left.withColumn("drawn", F.lit(True)), right.withColumn("drawn", F.lit(False) if drawn is None else drawn)
 
     def side(rows: DataFrame, x: str) -> DataFrame:
-        rows = rows if "wide" in rows.columns else rows.withColumn("wide", F.lit(None).cast("array<bigint>"))
-        names = ("node", "n", "pos", "label", "drawn", "wide", *(f"k{i}" for i in range(BRIEF)))
+        rows = rows if "prev" in rows.columns else rows.withColumn("prev", F.lit(None).cast("bigint"))
+        names = ("node", "n", "pos", "prev", "label", "drawn", *(f"k{i}" for i in range(BRIEF)))
         return rows.select("inside", "token", *(F.col(c).alias(f"{x}_{c}") for c in names))
 
     # Prefixes have one order: before the first run that two sets share they have none in common, so the bucket of that run bounds
-    # the overlap by what is left of either set from there on.  Their other buckets need not find them.
+    # the overlap by what is left of either set from there on, and no run before it is the same.  Their other buckets need not find them.
     most = F.least(F.col("a_n") - F.col("a_pos"), F.col("b_n") - F.col("b_pos"))
     possible = F.when(F.col("inside"), F.least("a_n", "b_n")).otherwise(most)
+    met_before = F.coalesce(F.col("a_prev") == F.col("b_prev"), F.lit(False))
     unlike = sum((F.bit_count(F.col(f"a_k{i}").bitwiseXOR(F.col(f"b_k{i}"))) for i in range(BRIEF)), F.lit(0))
     alike = F.coalesce(_enough((F.col("a_n") + F.col("b_n") - unlike) / 2, percent), F.lit(True))
-    wide = F.coalesce(_enough((F.col("a_n") + F.col("b_n") - _unlike("a_wide", "b_wide")) / 2, percent), F.lit(True))
     met = side(left, "a").join(side(right, "b"), ["inside", "token"])
     met = met.where(F.col("a_label") != F.col("b_label")).where((F.col("a_node") < F.col("b_node")) | ~F.col("b_drawn"))
-    met = met.where(F.when(_enough(possible, percent) & alike, wide).otherwise(False))
-    return met.select("inside", F.least("a_node", "b_node").alias("a"), F.greatest("a_node", "b_node").alias("b")).distinct()
+    met = met.where(~met_before & _enough(possible, percent) & alike)
+    pairs = met.select("inside", F.least("a_node", "b_node").alias("a"), F.greatest("a_node", "b_node").alias("b")).distinct()
+    if sketches is None:
+        return pairs
+    for x in "ab":
+        pairs = pairs.join(sketches.select(*(F.col(c).alias(y) for c, y in (("node", x), ("n", f"{x}_n"), ("wide", f"{x}_wide")))), x, "left")
+    wide = F.coalesce(_enough((F.col("a_n") + F.col("b_n") - _unlike("a_wide", "b_wide")) / 2, percent), F.lit(True))
+    return pairs.where(wide).select("inside", "a", "b")
 
 
 def _expanded(pairs: DataFrame, groups: DataFrame) -> DataFrame:
@@ -275,8 +281,9 @@ def _labelled(buckets: DataFrame, groups: DataFrame, labels: DataFrame) -> DataF
     ).where("low < high").select(F.col("gid").alias("node"), F.lit(False).alias("inside"), F.lit(True).alias("mixed"))
     named = buckets.drop("label").join(roots.withColumnRenamed("cid", "node"), "node", "left").join(mixed, ["node", "inside"], "left")
     named = named.withColumn("label", F.when(F.col("mixed"), -1 - F.col("node")).otherwise(F.coalesce("root", "node"))).drop("root", "mixed")
-    several = named.groupBy("inside", "token").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high")
-    return stored(named.join(several.select("inside", "token"), ["inside", "token"], "left_semi"), "open")
+    same = Window.partitionBy("inside", "token")
+    several = named.withColumns({"low": F.min("label").over(same), "high": F.max("label").over(same)}).where("low < high")
+    return stored(several.drop("low", "high"), "open")
 
 
 def _links(keyed: DataFrame, classes: DataFrame, size: int, percent: int) -> DataFrame | None:
@@ -286,26 +293,28 @@ def _links(keyed: DataFrame, classes: DataFrame, size: int, percent: int) -> Dat
     largest = buckets.agg(F.max("m").alias("m")).first()["m"]
     if largest is None:
         return None
-    # Every bucket's first member against the others: as many rows as the buckets have, and near copies are connected by it.
-    pairs, opened = _pairs(buckets.where("node = first"), buckets.where("node <> first"), percent), buckets
+    # The nodes whose sketch may rule a pair out at once; a group of several classes has none.
+    sketches = classes.where("wide IS NOT NULL").select(F.col("cid").alias("node"), "n", "wide").join(groups.select(F.col("gid").alias("node")), "node", "left_anti")
+    # Every bucket's first member against the others, whether they met before or not: as many rows as the buckets have, and near copies are connected by it.
+    firsts = buckets.drop("prev")
+    pairs, opened = _pairs(firsts.where("node = first"), firsts.where("node <> first"), percent, None, sketches), buckets
     chance = F.pmod(F.xxhash64("node"), F.lit(1 << 30)) / (1 << 30)
     sets, links, compared = None, None, 2
     while True:
         candidates = stored(_sketched(_expanded(pairs, groups).distinct(), classes, percent), "candidates")
-        wanted = candidates.select(F.col("a").alias("cid")).union(candidates.select("b")).distinct()
-        if sets is not None:
-            wanted = wanted.join(sets.select("cid"), "cid", "left_anti")
+        asked = candidates.select(F.col("a").alias("cid")).union(candidates.select("b")).distinct()
+        wanted = asked if sets is None else asked.join(sets.select("cid"), "cid", "left_anti")
         more = _whole_sets(keyed, stored(wanted.join(classes.select("cid", "rep"), "cid"), "wanted"), size)
         sets = more if sets is None else sets.unionByName(more)
-        found = _verified(candidates, sets, percent)
+        found = _verified(candidates, sets.join(asked, "cid", "left_semi"), percent)
         links = stored(found if links is None else links.unionByName(found), "links")
         if compared >= largest:
             return links
         # What is still not connected: whole buckets up to ``compared`` members, a draw of about so many from larger ones.
-        opened = _labelled(opened.where(F.col("m") > compared), groups, stored(_shortcuts(links), "roots"))
+        opened = _labelled(opened.where(F.col("m") > compared).drop("first"), groups, stored(_shortcuts(links), "roots"))
         compared = max(SMALL, compared * SMALL)
         drawn = chance * F.col("m") < compared
-        pairs = _pairs(opened.where(drawn), opened, percent, drawn)
+        pairs = _pairs(opened.where(drawn), opened, percent, drawn, sketches)
 
 
 def link_documents(docs: DataFrame, size: int = 3, percent: int = 90, key: bool = False) -> DataFrame:

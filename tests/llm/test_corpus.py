@@ -389,6 +389,37 @@ def test_pairs_meet_in_the_bucket_of_their_first_common_run(spark):
     assert {(r["a"], r["b"]) for r in found} == {(90, 91), (5, 6)}
 
 
+def test_pairs_that_met_in_an_earlier_bucket_are_left_to_it(spark):
+    schema = "inside boolean, token bigint, node bigint, n int, pos int, prev bigint, label bigint, " + ", ".join(f"k{i} bigint" for i in range(jaccard.BRIEF))
+    none = (None,) * jaccard.BRIEF
+    rows = [(7, 1, None), (7, 2, None), (8, 1, 7), (8, 2, 7), (9, 3, 5), (9, 4, 6), (10, 5, 4), (10, 6, None)]
+    buckets = spark.createDataFrame([(False, token, node, 1000, 1, prev, node, *none) for token, node, prev in rows], schema)
+    found = [(r["a"], r["b"]) for r in jaccard._pairs(buckets.where("token <> 7"), buckets, 90).collect()]
+    assert sorted(found) == [(3, 4), (5, 6)]
+    assert (1, 2) in {(r["a"], r["b"]) for r in jaccard._pairs(buckets, buckets, 90).collect()}
+
+
+def test_rows_of_buckets_have_one_width(spark, monkeypatch):
+    """What is shuffled by runs does not grow with the sets: a row has no list, and names the shared run before it."""
+    made, step = [], jaccard._buckets
+
+    def run(*given):
+        out = step(*given)
+        made.extend((out.schema, out.collect()))
+        return out
+
+    monkeypatch.setattr(jaccard, "_buckets", run)
+    words = [f"w{i}" for i in range(1500)]
+    rows = [(d, " ".join([*words[: 1200 - 300 * d], *(f"d{d}x{i}" for i in range(300 * d))])) for d in range(3)]
+    rows.append((9, rows[2][1] + " y"))
+    got = jaccard.link_documents(spark.createDataFrame(rows, "doc_id bigint, text string"))
+    assert sorted((tuple(r) for r in got.collect()), key=repr) == brute_components(rows, 3, 90)
+    schema, buckets = made
+    assert not [f.name for f in schema.fields if f.dataType.typeName() == "array"]
+    firsts = {node: min(r["pos"] for r in buckets if r["node"] == node) for node in {r["node"] for r in buckets}}
+    assert all((r["prev"] is None) == (r["pos"] == firsts[r["node"]]) for r in buckets)
+
+
 def test_space_of_all_distinct_passages(spark, monkeypatch):
     """The product that gives the directions has every distinct passage of the documents and the items once, however many there are."""
     docs = spark.createDataFrame([(f"one{i} two{i % 7} three",) for i in range(30_000)] * 2, "text string").repartition(6)
